@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateflow.llm import canonical_text, prose, survivors
+from crateflow.llm import canonical_text, leaks, prose, survivors
 from crateflow.sources.tables import table
 
 # --- 5: text that looks the same ---------------------------------------------------------------------------------
@@ -52,6 +52,21 @@ r AS (SELECT *, CASE data_quality WHEN 'Complete and Correct' THEN 5 WHEN 'Corre
   id IN (SELECT release_id FROM release_label WHERE label_name <> 'Unknown') AS hl FROM releases WHERE master_id IS NOT NULL)"""
 _P7_ORDER = "q DESC, cached_at DESC NULLS LAST, id"
 
+# --- 8: evaluation texts in training text -------------------------------------------------------------------------
+
+
+def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "item_text")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_leaks(spark, d).select("item_id", "doc_id")
+
+
+def p8_leaked_items(spark: SparkSession, d: str) -> DataFrame:
+    return p8_leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("matched").alias("most_words"))
+
+
 # --- 10: text quality ---------------------------------------------------------------------------------------------
 
 
@@ -63,7 +78,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return prose.not_prose(p10_statistics(spark, d)).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_forms, p7_found, p7_top, p7_merged, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_forms, p7_found, p7_top, p7_merged, p8_found, p8_leaks, p8_leaked_items, p10_found, p10_statistics)}
 ORACLE = {
     "p7_found": f"""WITH {_P7_SQL} SELECT master_id, id AS release_id FROM r a
       WHERE EXISTS (FROM r b WHERE b.master_id = a.master_id AND b.format IS NOT DISTINCT FROM a.format AND b.id <> a.id)
