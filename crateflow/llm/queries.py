@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateflow.llm import canonical_text, leaks, prose, survivors
+from crateflow.llm import canonical_text, leaks, mixing, name_variants, prose, survivors
 from crateflow.sources.tables import table
 
+# --- 4: variant spellings -----------------------------------------------------------------------------------------
+
+
+def p4_entities(spark: SparkSession, d: str) -> DataFrame:
+    names = name_variants.name_keys(table(spark, d, "release_artist"), ["artist_name", "anv"])
+    names = names.unionByName(name_variants.name_keys(table(spark, d, "library"), ["alternate_artist_name"])).distinct()
+    return name_variants.name_entities(names)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return name_variants.spelling_pairs(p4_entities(spark, d))
+
+
 # --- 5: text that looks the same ---------------------------------------------------------------------------------
 
 
@@ -67,6 +82,29 @@ def p8_leaked_items(spark: SparkSession, d: str) -> DataFrame:
     return p8_leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("matched").alias("most_words"))
 
 
+# --- 9: mixing sources --------------------------------------------------------------------------------------------
+
+#: The public vocabulary whose tokens give the sizes; the folder can be set.
+RANKS = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "byte_bpe_50k.tiktoken")
+
+
+def _mixed(spark: SparkSession, d: str, relative_size: float | None = None) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix_documents(table(spark, d, "documents"), "doc_id", "source", "text", table(spark, d, "mix_targets"), RANKS, relative_size)
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.emitted(_mixed(spark, d)[0])
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[1]
+
+
+def p9_shares_capped(spark: SparkSession, d: str) -> DataFrame:
+    """The shares of a mix as large as the listed sources, in which scarce sources stay at their caps."""
+    return _mixed(spark, d, 1.0)[1]
+
+
 # --- 10: text quality ---------------------------------------------------------------------------------------------
 
 
@@ -78,7 +116,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return prose.not_prose(p10_statistics(spark, d)).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_forms, p7_found, p7_top, p7_merged, p8_found, p8_leaks, p8_leaked_items, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_entities, p5_found, p5_forms, p7_found, p7_top, p7_merged, p8_found, p8_leaks, p8_leaked_items, p9_mix, p9_shares, p9_shares_capped, p10_found, p10_statistics)}
 ORACLE = {
     "p7_found": f"""WITH {_P7_SQL} SELECT master_id, id AS release_id FROM r a
       WHERE EXISTS (FROM r b WHERE b.master_id = a.master_id AND b.format IS NOT DISTINCT FROM a.format AND b.id <> a.id)
