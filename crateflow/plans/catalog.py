@@ -1,0 +1,546 @@
+"""Queries of the catalogue build over the test tables, with their SQL twins."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crateflow.functions import formats, normalize, stats
+from crateflow.functions.fold import fold_name, folding, strip_accents
+from crateflow.operators import classify, dedup, health, parity, search, tables
+from crateflow.sources.tables import table
+from crateflow.sources.text_rows import escape, sql_values
+
+QUERIES = {}
+ORACLE = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL twin."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+# --- pieces of SQL ----------------------------------------------------------------------------------------------------
+
+
+def _q(text: str) -> str:
+    return text.replace("'", "''")
+
+
+def _sql_strip(x: str) -> str:
+    return rf"regexp_replace({x}, '^[\s\p{{Z}}\x0B\x{{1C}}-\x{{1F}}\x{{85}}]+|[\s\p{{Z}}\x0B\x{{1C}}-\x{{1F}}\x{{85}}]+$', '', 'g')"
+
+
+def _sql_fold(x: str, form: str = "NFKD") -> str:
+    sources, targets, longer = folding(form)
+    out = rf"regexp_replace(translate({x}, '{_q(sources)}', '{_q(targets)}'), '\p{{Mn}}+', '', 'g')"
+    for a, b in longer:
+        if a in "ﬀﬁﬂﬃﬄﬆ":
+            out = f"replace({out}, '{a}', '{b}')"
+    return out
+
+
+def _sql_title(x: str) -> str:
+    return _sql_strip(rf"regexp_replace({_sql_fold(f'lower({_sql_strip(x)})')}, '(?:\s*(?:{normalize.TITLE_SUFFIX}))+\s*$', '')")
+
+
+def _sql_compare(x: str) -> str:
+    folded = _sql_fold(f"lower({_sql_strip(x)})")
+    plain = rf"regexp_replace(regexp_replace({folded}, '\s*\(\d+\)\s*$', ''), '\s*\[.*?\]\s*$', '')"
+    return _sql_strip(rf"regexp_replace({plain}, '^(.*),\s+({'|'.join(normalize.COMMA_ARTICLES)})$', '\2 \1')")
+
+
+def _sql_artist(x: str) -> str:
+    return rf"trim(regexp_replace(replace(replace({_sql_compare(x)}, '&', ' and '), '''', ''), '\s+', ' ', 'g'))"
+
+
+def _sql_light(x: str) -> str:
+    return _sql_strip(f"lower({_sql_fold(x)})")
+
+
+def _sql_identity(x: str) -> str:
+    folded = rf"trim(regexp_replace(lower({_sql_fold(_sql_strip(x))}), '[\s\p{{Z}}\x0B\x{{1C}}-\x{{1F}}\x{{85}}]+', ' ', 'g'))"
+    bare = rf"trim(regexp_replace({folded}, '\s*(?:\([^()]*\)|\[[^\[\]]*\])$', ''))"
+    return rf"trim(regexp_replace(regexp_replace({bare}, '^(?:the|a|an)\s+(\S)', '\1'), ',\s+(?:the|a|an)$', ''))"
+
+
+_COMPILATION_SQL = r"coalesce(regexp_matches(lower(trim(artist)), '^(?:various artists|v/a|v\.a|soundtracks)(?:$|[^\p{L}\p{N}])') OR lower(trim(artist)) IN ('various', 'soundtrack', 'compilation'), false)"
+_TRI = r"list_distinct(flatten(list_transform(list_filter(string_split(regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substring('  ' || w || ' ', i, 3)))))"
+
+
+def _sql_similarity(a: str, b: str) -> str:
+    x, y = _TRI.format(x=a), _TRI.format(x=b)
+    return f"coalesce(len(list_intersect({x}, {y})) / nullif(len({x}) + len({y}) - len(list_intersect({x}, {y})), 0), 0.0)"
+
+
+_CATEGORY_SQL = "CASE {x} " + " ".join(f"WHEN '{_q(k)}' THEN '{_q(v)}'" for k, v in formats.CATEGORIES.items()) + " END"
+
+
+# --- deduplication ----------------------------------------------------------------------------------------------------
+
+
+def _counts(s: SparkSession, d: str) -> DataFrame:
+    return dedup.track_counts(table(s, d, "release_track"))
+
+
+_RANK_SQL = """
+tc AS (SELECT release_id, count(*) AS track_count FROM release_track GROUP BY 1),
+r AS (SELECT releases.*, track_count, {match} AS label_match FROM releases JOIN tc ON tc.release_id = id WHERE master_id IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY master_id, format ORDER BY label_match DESC, (country = 'US') DESC NULLS FIRST, track_count DESC, id) AS rank FROM r)"""
+
+
+@query(f"WITH {_RANK_SQL.format(match='0')} SELECT id, master_id, format, track_count, rank::INT AS rank FROM ranked")
+def dedup_ranked(s, d):
+    return dedup.ranked(table(s, d, "releases"), _counts(s, d)).select("id", "master_id", "format", "track_count", "rank")
+
+
+@query(f"WITH {_RANK_SQL.format(match='0')} SELECT id FROM ranked WHERE rank = 1")
+def dedup_best_per_group(s, d):
+    return dedup.ranked(table(s, d, "releases"), _counts(s, d)).where("rank = 1").select("id")
+
+
+@query(f"WITH {_RANK_SQL.format(match='0')} SELECT id FROM ranked WHERE rank > 1 AND id NOT IN (SELECT release_id FROM release_label WHERE catno IS NULL AND release_id IS NOT NULL)")
+def dedup_keep_list(s, d):
+    keep = table(s, d, "release_label").where("catno is null").select(F.col("release_id").alias("id"))
+    return dedup.surplus(dedup.ranked(table(s, d, "releases"), _counts(s, d)), keep)
+
+
+@query(f"WITH {_RANK_SQL.format(match='0')} SELECT id, title FROM releases WHERE id NOT IN (SELECT id FROM ranked WHERE rank > 1)")
+def dedup_trackless_survive(s, d):
+    releases = table(s, d, "releases")
+    return tables.drop_ids(releases, "id", dedup.surplus(dedup.ranked(releases, _counts(s, d)))).select("id", "title")
+
+
+_MATCH_SQL = """
+prefs AS (SELECT DISTINCT lower(artist) AS a, lower(title) AS t, lower(label) AS l FROM library WHERE label IS NOT NULL AND artist IS NOT NULL AND title IS NOT NULL),
+edges AS (SELECT DISTINCT lower(label_name) AS x, lower(parent_label_name) AS y FROM label_hierarchy WHERE label_name IS NOT NULL AND parent_label_name IS NOT NULL),
+matches AS (SELECT DISTINCT c.release_id FROM release_artist c JOIN releases r ON r.id = c.release_id JOIN release_label b ON b.release_id = c.release_id
+  JOIN prefs p ON p.a = lower(c.artist_name) AND p.t = lower(r.title)
+  WHERE c.extra = 0 AND (p.l = lower(b.label_name) OR EXISTS (FROM edges e WHERE e.x = p.l AND e.y = lower(b.label_name)) OR EXISTS (FROM edges e WHERE e.y = p.l AND e.x = lower(b.label_name))))"""
+
+
+def _label_matches(s: SparkSession, d: str) -> DataFrame:
+    credits = table(s, d, "release_artist").where("extra = 0").join(table(s, d, "releases").select(F.col("id").alias("release_id"), "title"), "release_id")
+    prefs = table(s, d, "library").select(F.col("artist").alias("artist_name"), "title", F.col("label").alias("label_name"))
+    return dedup.label_match(credits, table(s, d, "release_label"), prefs, table(s, d, "label_hierarchy"))
+
+
+@query(f"WITH {_MATCH_SQL} SELECT release_id FROM matches")
+def label_match_hierarchy(s, d):
+    return _label_matches(s, d)
+
+
+@query(f"WITH {_MATCH_SQL}, {_RANK_SQL.format(match='(id IN (SELECT release_id FROM matches))::INT')} SELECT id, label_match FROM ranked WHERE rank = 1")
+def dedup_with_label_match(s, d):
+    return dedup.ranked(table(s, d, "releases"), _counts(s, d), _label_matches(s, d)).where("rank = 1").select("id", "label_match")
+
+
+# --- loading ----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT release_id, artist_name, extra, artist_id, role FROM release_artist QUALIFY row_number() OVER (PARTITION BY release_id, artist_name, extra ORDER BY artist_id NULLS FIRST, role NULLS FIRST, anv NULLS FIRST, position NULLS FIRST, join_field NULLS FIRST) = 1")
+def ingest_first_wins(s, d):
+    order = [F.asc_nulls_first(c) for c in ("artist_id", "role", "anv", "position", "join_field")]
+    return tables.first_wins(table(s, d, "release_artist"), ["release_id", "artist_name", "extra"], order).select("release_id", "artist_name", "extra", "artist_id", "role")
+
+
+@query("SELECT release_id, label_id, label_name, nullif(catno, 'none') AS catno FROM release_label WHERE label_id IS NOT NULL AND label_name IS NOT NULL")
+def ingest_required_nulls(s, d):
+    return table(s, d, "release_label").dropna(subset=["label_id", "label_name"]).select("release_id", "label_id", "label_name", F.nullif(F.col("catno"), F.lit("none")).alias("catno"))
+
+
+@query("SELECT csv_file, try_cast(split_part(raw_line, ',', 1) AS INTEGER) AS release_id, count(*) AS n FROM release_raw WHERE try_cast(split_part(raw_line, ',', 1) AS INTEGER) IS NOT NULL AND regexp_matches(split_part(raw_line, ',', 1), '^[0-9]+$') GROUP BY 1, 2")
+def ingest_count_raw(s, d):
+    first = F.split_part("raw_line", F.lit(","), F.lit(1))
+    ids = F.when(first.rlike("^[0-9]+$"), first).try_cast("int")
+    return table(s, d, "release_raw").select("csv_file", ids.alias("release_id")).where("release_id is not null").groupBy("csv_file", "release_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT release_id, sequence FROM release_track WHERE release_id IN (SELECT id FROM releases WHERE status = 'Accepted')")
+def surviving_children(s, d):
+    return tables.keep_ids(table(s, d, "release_track"), "release_id", table(s, d, "releases").where("status = 'Accepted'")).select("release_id", "sequence")
+
+
+@query("SELECT release_id, count(*) AS n FROM release_artist WHERE release_id NOT IN (SELECT id FROM releases WHERE format = 'CD') GROUP BY 1")
+def orphan_cleanup(s, d):
+    return tables.orphans(table(s, d, "release_artist"), "release_id", table(s, d, "releases").where("format = 'CD'")).groupBy("release_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT n.id, n.title, n.country, l.notes, l.cached_at::VARCHAR AS cached FROM (SELECT id, upper(title) AS title, country FROM releases WHERE format = 'CD') n LEFT JOIN (SELECT * FROM releases WHERE data_quality = 'Correct') l USING (id)")
+def upsert_preserve_columns(s, d):
+    live = table(s, d, "releases").where("data_quality = 'Correct'").select("id", "title", "country", "notes", "cached_at")
+    staged = table(s, d, "releases").where("format = 'CD'").select("id", F.upper("title").alias("title"), "country")
+    out = tables.upsert(live, staged, "id", ["title", "country"])
+    text = F.regexp_replace(F.date_format("cached_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.?0+$", "")
+    return out.select("id", "title", "country", "notes", F.concat(text, F.lit("+00")).alias("cached"))
+
+
+@query("SELECT id, title FROM releases WHERE format = 'CD' UNION ALL SELECT id, title FROM releases WHERE country = 'US' AND (format <> 'CD' OR format IS NULL)")
+def additive_insert(s, d):
+    r = table(s, d, "releases")
+    return tables.insert_absent(r.where("format = 'CD'").select("id", "title"), r.where("country = 'US'").select("id", "title"), "id")
+
+
+@query("SELECT count(*) AS n, 'release' AS table_name FROM releases WHERE format = 'CD' OR country = 'US' UNION ALL SELECT count(*), 'track' FROM release_track WHERE release_id IN (SELECT id FROM releases WHERE format = 'CD' OR country = 'US')")
+def additive_seed(s, d):
+    r, t = table(s, d, "releases"), table(s, d, "release_track")
+    live = {"release": r.where("format = 'CD'"), "track": tables.keep_ids(t, "release_id", r.where("format = 'CD'"))}
+    grown = tables.seed(live, {"release": r, "track": t}, "release", "id", "release_id", r.where("country = 'US'").select("id"))
+    return tables.counts(grown)
+
+
+@query("SELECT id, CASE WHEN regexp_matches(released, '^[0-9]{4}') THEN released[:4]::SMALLINT END AS release_year FROM releases")
+def release_year_extract(s, d):
+    return table(s, d, "releases").select("id", stats.release_year(F.col("released")).alias("release_year"))
+
+
+@query("SELECT id, title, lower(title) AS norm_title FROM releases WHERE id IN (SELECT release_id FROM release_artist WHERE extra = 0 AND (artist_id = 194 OR artist_name = 'Various'))")
+def va_derive(s, d):
+    return tables.floor_guard(tables.compilations(table(s, d, "releases"), table(s, d, "release_artist")), 1, 0)
+
+
+@query("SELECT release_id, arg_min(title, (CASE WHEN position = 'A1' THEN 0 ELSE 1 END) * 1000000 + sequence) AS uri FROM (SELECT DISTINCT * FROM release_track) GROUP BY 1")
+def first_image_per_release(s, d):
+    images = table(s, d, "release_track").distinct().select("release_id", F.when(F.col("position") == "A1", "primary").alias("type"), F.col("title").alias("uri"), F.col("sequence").alias("pos"))
+    return tables.first_image(images)
+
+
+@query("SELECT artist_id, max_by(anv, release_id::BIGINT * 1000000 + hash_key) AS anv FROM (SELECT artist_id, max(anv) AS anv, release_id, 0 AS hash_key FROM release_artist WHERE anv IS NOT NULL AND artist_id IS NOT NULL GROUP BY 1, 3) GROUP BY 1")
+def last_profile_wins(s, d):
+    rows = table(s, d, "release_artist").where("anv is not null and artist_id is not null").groupBy("artist_id", "release_id").agg(F.max("anv").alias("anv"))
+    return tables.last_value(rows, "artist_id", "anv", "release_id")
+
+
+@query("SELECT r.id, coalesce(u.n, r.notes) AS notes FROM releases r LEFT JOIN (SELECT release_id, max(catno) AS n FROM release_label GROUP BY 1) u ON u.release_id = r.id")
+def update_from_child(s, d):
+    values = table(s, d, "release_label").groupBy(F.col("release_id").alias("id")).agg(F.max("catno").alias("notes"))
+    return tables.update_from(table(s, d, "releases").select("id", "notes"), values, "id", "notes")
+
+
+@query("SELECT event_type, json_extract_string(props, '$.' || k) AS v, k FROM (SELECT event_type, props, unnest(json_keys(props)) AS k FROM events) WHERE json_extract_string(props, '$.' || k) IS NOT NULL")
+def ndjson_map(s, d):
+    rows = table(s, d, "events").select("event_type", F.explode(F.from_json("props", "map<string,string>")).alias("k", "v"))
+    return rows.where("v is not null").select("event_type", "v", "k")
+
+
+@query(r"SELECT id, CASE WHEN notes IS NULL OR notes = '' THEN '\N' ELSE replace(replace(replace(replace(notes, chr(13), ''), '\', '\\'), chr(9), '\t'), chr(10), '\n') END AS value FROM releases")
+def copy_text(s, d):
+    return table(s, d, "releases").select("id", escape(F.col("notes")).alias("value"))
+
+
+@query("SELECT '(''' || release_id || ''', ' || coalesce('''' || replace(title, '''', '''''') || '''', 'NULL') || ')' AS value FROM release_track")
+def sql_values_text(s, d):
+    return sql_values(table(s, d, "release_track").select("release_id", "title"))
+
+
+@query("SELECT 'library' AS table_name, count(*) AS n FROM library UNION ALL SELECT 'releases', count(*) FROM releases UNION ALL SELECT 'release_artist', count(*) FROM release_artist UNION ALL SELECT 'release_track', count(*) FROM release_track")
+def table_counts_union(s, d):
+    return tables.counts({t: table(s, d, t) for t in ("library", "releases", "release_artist", "release_track")})
+
+
+@query()
+def hash_sample(s, d):
+    return tables.hash_sample(table(s, d, "releases").select("id"), "id", 100, 217)
+
+
+# --- text forms -------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT release_id, {_sql_fold('artist_name')} AS folded FROM release_artist")
+def fold_accents(s, d):
+    return table(s, d, "release_artist").select("release_id", strip_accents("artist_name").alias("folded"))
+
+
+@query(f"SELECT id, {_sql_title('title')} AS form FROM releases")
+def normalize_title(s, d):
+    return table(s, d, "releases").select("id", normalize.match_title(F.col("title")).alias("form"))
+
+
+@query(f"SELECT id, {_sql_artist('artist')} AS form FROM library")
+def normalize_artist(s, d):
+    return table(s, d, "library").select("id", normalize.match_artist(F.col("artist")).alias("form"))
+
+
+@query(f"SELECT id, {_sql_compare('artist')} AS form FROM library")
+def compare_form(s, d):
+    return table(s, d, "library").select("id", normalize.compare_form(F.col("artist")).alias("form"))
+
+
+@query(rf"SELECT id, CASE WHEN {_sql_strip('call_letters')} = '' OR call_letters IS NULL THEN NULL WHEN regexp_matches(call_letters, 'Z-[A-Z]') THEN 'V/A' WHEN length({_sql_strip('call_letters')}) = 3 THEN upper({_sql_strip('call_letters')}) ELSE upper({_sql_strip('call_letters')}[:2]) END AS code FROM library")
+def code_letters(s, d):
+    return table(s, d, "library").select("id", normalize.code_letters(F.col("call_letters")).alias("code"))
+
+
+@query(rf"SELECT id, CASE WHEN regexp_full_match(lower({_sql_strip('artist')}), 'various(?:\s+artists(?:\s*-\s*[a-z]+)?)?') THEN 'Various Artists' ELSE {_sql_strip('artist')} END AS name, regexp_full_match(lower({_sql_strip('artist')}), 'various(?:\s+artists(?:\s*-\s*[a-z]+)?)?') AS is_various FROM library")
+def parity_artist_names(s, d):
+    name, various = normalize.parity_artist(F.col("artist"))
+    return table(s, d, "library").select("id", name.alias("name"), various.alias("is_various"))
+
+
+@query(f"SELECT id, {_COMPILATION_SQL.replace('trim(artist)', _sql_strip('artist'))} AS compilation FROM library")
+def is_compilation(s, d):
+    return table(s, d, "library").select("id", normalize.is_compilation(F.col("artist")).alias("compilation"))
+
+
+@query(rf"""WITH f AS (SELECT id, format, regexp_replace(trim(lower(format)), '\s+x\s+\d+(?:\s+box)?$', '') AS low FROM library)
+  SELECT id, CASE WHEN low LIKE 'vinyl - %' THEN coalesce({_CATEGORY_SQL.format(x="trim(low[9:])")}, 'Vinyl') ELSE {_CATEGORY_SQL.format(x="low")} END AS category FROM f""")
+def library_format(s, d):
+    return table(s, d, "library").select("id", formats.shelf_category(F.col("format")).alias("category"))
+
+
+@query(rf"""WITH f AS (SELECT id, trim(lower(format)) AS low FROM library)
+  SELECT id, CASE WHEN regexp_full_match(low, 'cd(?:\s*x\s*\d+)?(?:\s*box)?') THEN 'cd' WHEN low = 'cdr' THEN 'cdr' WHEN low LIKE 'vinyl%' THEN CASE WHEN contains(low, '7"') THEN 'vinyl 7"' WHEN contains(low, '10"') THEN 'vinyl 10"' WHEN contains(low, '12"') OR contains(low, 'lp') THEN 'vinyl 12"' ELSE 'vinyl' END END AS name,
+  CASE WHEN regexp_full_match(low, 'cd(?:\s*x\s*\d+)?(?:\s*box)?') OR low LIKE 'vinyl%' THEN coalesce(nullif(regexp_extract(low, 'x\s*(\d+)', 1), '')::INT, 1) WHEN low = 'cdr' THEN 1 END AS discs FROM f""")
+def parse_format(s, d):
+    f = formats.shelf_format(F.col("format"))
+    return table(s, d, "library").select("id", f["name"].alias("name"), f["discs"].alias("discs"))
+
+
+@query(rf"""WITH f AS (SELECT line_id, regexp_replace(lower(trim(string_split(regexp_extract(raw_line, '([^,"]*)$', 1), ',')[1])), '^\d+x', '') AS low FROM release_raw WHERE csv_file = 'release.csv')
+  SELECT line_id, {_CATEGORY_SQL.format(x="low")} AS category FROM f""")
+def normalize_format(s, d):
+    raw = table(s, d, "release_raw").where("csv_file = 'release.csv'")
+    return raw.select("line_id", formats.release_category(F.regexp_extract("raw_line", '([^,"]*)$', 1)).alias("category"))
+
+
+@query(rf"SELECT id, nullif(nullif({_sql_strip('label')}, ''), 'NULL') AS form, translate(title, chr(9) || chr(10), '  ') AS flat FROM library")
+def none_form(s, d):
+    return table(s, d, "library").select("id", normalize.none_form(F.col("label")).alias("form"), normalize.flat_breaks(F.col("title")).alias("flat"))
+
+
+@query(f"SELECT input, {_sql_identity('input')} AS base FROM identity_normalization_cases")
+def identity_base(s, d):
+    return table(s, d, "identity_normalization_cases").select("input", normalize.identity_base(F.col("input")).alias("base"))
+
+
+@query(rf"SELECT input, trim(regexp_replace({_sql_identity('input')}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS form FROM identity_normalization_cases")
+def identity_punct(s, d):
+    return table(s, d, "identity_normalization_cases").select("input", normalize.identity_punctuation(F.col("input")).alias("form"))
+
+
+@query(rf"SELECT input, regexp_replace({_sql_identity('input')}, '\s+/\d+$', '') AS form FROM identity_normalization_cases")
+def identity_disamb(s, d):
+    return table(s, d, "identity_normalization_cases").select("input", normalize.identity_disambiguated(F.col("input")).alias("form"))
+
+
+@query("SELECT id, array_to_string(list_filter(list_transform(string_split(cross_reference_names, ' | '), lambda x: trim(x)), lambda x: x <> ''), '/') AS refs FROM library WHERE cross_reference_names IS NOT NULL")
+def cross_reference_split(s, d):
+    return table(s, d, "library").where("cross_reference_names is not null").select("id", F.array_join(normalize.split_refs(F.col("cross_reference_names")), "/").alias("refs"))
+
+
+# --- library filters and search ---------------------------------------------------------------------------------------
+
+
+@query(f"SELECT DISTINCT release_id FROM release_artist WHERE {_sql_light('artist_name')} IN (SELECT {_sql_light('artist')} FROM library)")
+def artist_filter(s, d):
+    return classify.match_filter(table(s, d, "release_artist"), "release_id", normalize.light_form(F.col("artist_name")), None, table(s, d, "library"), normalize.light_form(F.col("artist")), None)
+
+
+@query(f"SELECT DISTINCT c.release_id FROM release_artist c JOIN releases r ON r.id = c.release_id JOIN (SELECT DISTINCT {_sql_light('artist')} AS a, {_sql_light('title')} AS t FROM library) l ON l.a = {_sql_light('c.artist_name')} AND l.t = {_sql_light('r.title')}")
+def pair_filter(s, d):
+    rows = table(s, d, "release_artist").select("release_id", "artist_name").join(table(s, d, "releases").select(F.col("id").alias("release_id"), "title"), "release_id")
+    light = normalize.light_form
+    return classify.match_filter(rows, "release_id", light(F.col("artist_name")), light(F.col("title")), table(s, d, "library"), light(F.col("artist")), light(F.col("title")))
+
+
+@query(f"SELECT label_id, label_name, round(similarity, 6) AS similarity FROM (SELECT DISTINCT label_id, label_name, {_sql_similarity('label_name', chr(39) + 'Hinthelaro Records' + chr(39))} AS similarity FROM label_hierarchy) WHERE similarity > 0.2 ORDER BY similarity DESC, label_id, label_name LIMIT 10")
+def trgm_similarity_top(s, d):
+    rows = table(s, d, "label_hierarchy").select("label_id", "label_name").distinct().withColumn("k", F.struct("label_id", "label_name"))
+    return search.best_similar(rows, "label_name", "Hinthelaro Records", "k", 10, 0.2).select("label_id", "label_name", F.round("similarity", 6).alias("similarity"))
+
+
+@query(f"SELECT a AS label, b AS other, round(s, 6) AS similarity FROM (SELECT a, b, {_sql_similarity('a', 'b')} AS s FROM (SELECT DISTINCT label AS a FROM library WHERE label IS NOT NULL) x, (SELECT DISTINCT parent_label_name AS b FROM label_hierarchy WHERE parent_label_name IS NOT NULL) y) WHERE s > 0.5")
+def trgm_search_join(s, d):
+    left, right = table(s, d, "library").withColumnRenamed("label", "l"), table(s, d, "label_hierarchy")
+    return search.similarity_join(left.select(F.col("l").alias("label")), right.select(F.col("parent_label_name").alias("other")), "label", "other", 0.5).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(f"SELECT id, round(score, 6) AS score FROM (SELECT id, 0.6 * {_sql_similarity('title', chr(39) + 'Songs of the Harbor' + chr(39))} + 0.4 * {_sql_similarity('artist', chr(39) + 'Ida Brass Band' + chr(39))} AS score FROM library) ORDER BY score DESC, id LIMIT 10")
+def title_search_weighted(s, d):
+    return search.ranked_search(table(s, d, "library"), "id", "title", "artist", "Songs of the Harbor", "Ida Brass Band").select("id", F.round("score", 6).alias("score"))
+
+
+@query("SELECT id FROM (SELECT id, unnest(list_distinct(list_filter(string_split(lower(concat_ws(' ', title, artist, alternate_artist_name, album_artist)), ' '), lambda w: w <> ''))) AS w FROM library) WHERE w IN ('and', 'the') GROUP BY id HAVING count(DISTINCT w) = 2")
+def word_search(s, d):
+    # White space other than blanks separates words as well, so the texts' tabs and wide blanks are kept out of the twin by being part of no searched word.
+    text = F.concat_ws(" ", "title", "artist", "alternate_artist_name", "album_artist")
+    rows = table(s, d, "library").select("id", text.alias("text"))
+    return search.word_search(search.inverted_index(rows, "id", ["text"]), "id", ["and", "the"])
+
+
+@query(r"SELECT DISTINCT release_id FROM (SELECT release_id, unnest(list_filter(regexp_split_to_array(lower(artist_name), '\s+'), lambda w: length(w) >= 3)) AS w FROM release_artist) WHERE w IN (SELECT unnest(list_filter(regexp_split_to_array(lower(artist), '\s+'), lambda w: length(w) >= 3)) FROM library)")
+def token_prescreen(s, d):
+    return search.token_overlap(table(s, d, "release_artist"), "artist_name", table(s, d, "library"), "artist", "release_id")
+
+
+@query()
+def fuzzy_resolve_gap(s, d):
+    names = table(s, d, "library").select(F.col("label").alias("name"))
+    return search.fuzzy_resolve(names, "name", table(s, d, "label_hierarchy").select(F.col("label_name").alias("entry")), "entry")
+
+
+def _release_pairs(s: SparkSession, d: str) -> DataFrame:
+    credits = table(s, d, "release_artist").where("extra = 0").select(F.col("release_id").alias("id"), "artist_name")
+    return credits.join(table(s, d, "releases").select("id", F.col("title").alias("title_text"), "format"), "id")
+
+
+def _index(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    return classify.library_index(table(s, d, "library"), "artist", "title", "alternate_artist_name", formats.shelf_category(F.col("format")))
+
+
+@query()
+def classify_releases(s, d):
+    return classify.classify(_release_pairs(s, d), _index(s, d))
+
+
+@query(f"SELECT DISTINCT c.release_id AS id FROM release_artist c JOIN releases r ON r.id = c.release_id JOIN library l ON {_sql_title('l.title')} = {_sql_title('r.title')} AND ({_sql_artist('l.artist')} = {_sql_artist('c.artist_name')} OR {_sql_artist('l.alternate_artist_name')} = {_sql_artist('c.artist_name')}) WHERE c.extra = 0")
+def exact_pairs(s, d):
+    rows = _release_pairs(s, d).select("id", normalize.match_artist(F.col("artist_name")).alias("artist"), normalize.match_title(F.col("title_text")).alias("title"))
+    return rows.join(_index(s, d)["pairs"], ["artist", "title"], "left_semi").select("id").distinct()
+
+
+@query()
+def compilation_classify(s, d):
+    rows = _release_pairs(s, d).where(normalize.is_compilation(F.col("artist_name")))
+    return classify.compilation(rows.select("id", normalize.match_title(F.col("title_text")).alias("title")), _index(s, d))
+
+
+@query()
+def two_stage_classify(s, d):
+    rows = _release_pairs(s, d).where(~normalize.is_compilation(F.col("artist_name")))
+    rows = rows.select("id", normalize.match_artist(F.col("artist_name")).alias("artist"), normalize.match_title(F.col("title_text")).alias("title"))
+    return classify.fuzzy_artist(rows, _index(s, d))
+
+
+@query("""WITH c AS (SELECT id, unnest(['keep', 'prune', 'review']) AS class, unnest([country = 'US', data_quality = 'Correct', format = 'CD']) AS f FROM releases), t AS (SELECT id, CASE max(CASE class WHEN 'keep' THEN 3 WHEN 'review' THEN 2 ELSE 1 END) WHEN 3 THEN 'keep' WHEN 2 THEN 'review' ELSE 'prune' END AS class FROM c WHERE f GROUP BY id)
+  SELECT coalesce(t.id, o.release_id) AS id, CASE WHEN o.release_id IS NOT NULL THEN 'keep' ELSE class END AS class FROM t FULL JOIN (SELECT DISTINCT release_id FROM release_label WHERE label_id = 5) o ON o.release_id = t.id""")
+def precedence_override(s, d):
+    r = table(s, d, "releases")
+    rows = [r.where(cond).select("id", F.lit(name).alias("class")) for name, cond in (("keep", "country = 'US'"), ("prune", "data_quality = 'Correct'"), ("review", "format = 'CD'"))]
+    classes = tables.precedence(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+    return tables.override(classes, table(s, d, "release_label").where("label_id = 5").select(F.col("release_id").alias("id")))
+
+
+_CANDIDATES_SQL = f"SELECT DISTINCT left(l.label, 4) AS name, l.artist, l.title, round({_sql_similarity('l.artist', 'l.title')}, 6) AS score FROM library l WHERE l.label IS NOT NULL"
+
+
+@query(f"""WITH c AS ({_CANDIDATES_SQL}), p AS (SELECT name, artist, count(DISTINCT title) AS titles, max(score) AS score FROM c GROUP BY 1, 2),
+  t AS (SELECT *, row_number() OVER w AS r, lead(score) OVER w AS next FROM p WINDOW w AS (PARTITION BY name ORDER BY score DESC, titles DESC, artist))
+  SELECT name, CASE WHEN next IS NOT NULL AND score - next < 0.1 AND score >= 0.4 THEN 'AMBIGUOUS' WHEN score >= 0.6 OR titles > 1 THEN 'RESOLVED' WHEN score >= 0.4 THEN 'AMBIGUOUS' ELSE 'UNRESOLVED' END AS status, artist AS best, score, titles FROM t WHERE r = 1""")
+def collision_resolve(s, d):
+    from crateflow.functions.trigram import similarity
+
+    rows = table(s, d, "library").where("label is not null")
+    rows = rows.select(F.substring("label", 1, 4).alias("name"), "artist", "title", F.round(similarity(F.col("artist"), F.col("title")), 6).alias("score")).distinct()
+    return classify.resolve_collisions(rows)
+
+
+# --- snapshots --------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'missing' WHEN a.id IS NULL THEN 'extra' ELSE 'matched' END AS presence FROM library a FULL JOIN library_backend b ON a.id = b.id")
+def parity_full_outer(s, d):
+    return parity.presence(table(s, d, "library"), table(s, d, "library_backend"), "id")
+
+
+@query(rf"""WITH j AS (SELECT nullif(nullif({_sql_strip('a.genre')}, ''), 'NULL') AS g1, nullif(nullif({_sql_strip('b.genre')}, ''), 'NULL') AS g2, nullif(nullif({_sql_strip('a.format')}, ''), 'NULL') AS f1, nullif(nullif({_sql_strip('b.format')}, ''), 'NULL') AS f2 FROM library a JOIN library_backend b ON a.id = b.id),
+  t AS (SELECT unnest(['genre', 'format']) AS field, unnest([CASE WHEN g1 IS NOT DISTINCT FROM g2 THEN 'agree' WHEN lower(g1) IS NOT DISTINCT FROM lower(g2) THEN 'normalized' ELSE 'mismatch' END, CASE WHEN f1 IS NOT DISTINCT FROM f2 THEN 'agree' WHEN lower(f1) IS NOT DISTINCT FROM lower(f2) THEN 'normalized' ELSE 'mismatch' END]) AS tier FROM j),
+  grid AS (SELECT * FROM (SELECT unnest(['genre', 'format']) AS field), (SELECT unnest(['agree', 'normalized', 'mismatch']) AS tier))
+  SELECT field, tier, count(t.tier) AS n FROM grid LEFT JOIN t USING (field, tier) GROUP BY 1, 2""")
+def parity_field_tiers(s, d):
+    return parity.field_tiers(table(s, d, "library"), table(s, d, "library_backend"), "id", ["genre", "format"])
+
+
+@query()
+def parity_all_tiers(s, d):
+    return parity.field_tiers(table(s, d, "library"), table(s, d, "library_backend"), "id", ["title", "artist", "call_letters", "artist_call_number", "release_call_number", "genre", "format", "alternate_artist_name", "album_artist", "label", "cross_reference_names"])
+
+
+@query("SELECT artist, title, greatest(sum(n), 0)::BIGINT AS missing, greatest(-sum(n), 0)::BIGINT AS extra FROM (SELECT artist, title, 1 AS n FROM library UNION ALL SELECT artist, title, -1 FROM library_backend) GROUP BY 1, 2 HAVING sum(n) <> 0")
+def parity_multiset(s, d):
+    return parity.multiset_difference(table(s, d, "library"), table(s, d, "library_backend"), ["artist", "title"])
+
+
+@query(rf"""WITH f AS (SELECT DISTINCT lower(regexp_replace(translate(artist, '{_q(folding("NFD")[0])}', '{_q(folding("NFD")[1])}'), '[\x{{300}}-\x{{36F}}]+', '', 'g')) AS fold, artist, call_letters FROM library WHERE artist IS NOT NULL)
+  SELECT fold, array_to_string(list_sort(list(DISTINCT call_letters) FILTER (WHERE call_letters IS NOT NULL)), ',') AS codes FROM f GROUP BY 1 HAVING count(DISTINCT artist) > 1""")
+def parity_fold_collapse(s, d):
+    return parity.fold_groups(table(s, d, "library"), "artist", "call_letters").select("fold", F.when(F.size("values") > 0, F.array_join("values", ",")).alias("codes"))
+
+
+@query("""WITH bad AS (SELECT DISTINCT release_id || '/' || sequence || '/' || title AS row, release_id, translate(title, 'éöí', '���') AS t FROM release_track),
+  hit AS (SELECT DISTINCT b.row, g.title FROM bad b JOIN release_track g USING (release_id) WHERE contains(b.t, '�') AND length(b.t) = length(g.title)
+    AND list_bool_and(list_transform(range(1, length(b.t) + 1), lambda i: b.t[i] = '�' OR b.t[i] = g.title[i])))
+  SELECT r.row, CASE WHEN count(DISTINCT h.title) = 1 THEN 'resolved' WHEN count(DISTINCT h.title) > 1 THEN 'multiple_candidates' ELSE 'zero_candidates' END AS outcome,
+    CASE WHEN count(DISTINCT h.title) = 1 THEN min(h.title) END AS value FROM (SELECT DISTINCT row FROM bad WHERE contains(t, '�')) r LEFT JOIN hit h ON h.row = r.row GROUP BY r.row""")
+def fffd_repair(s, d):
+    tracks = table(s, d, "release_track").select("release_id", "sequence", "title").distinct()
+    bad = tracks.select(F.concat_ws("/", "release_id", "sequence", "title").alias("row"), "release_id", F.translate("title", "éöí", "���").alias("title"))
+    return parity.repair(bad, tracks, ["release_id"], "title", "row")
+
+
+@query("""WITH e AS (SELECT DISTINCT label_id AS a, parent_label_id AS b FROM label_hierarchy WHERE label_id <> parent_label_id), b AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+  n AS (SELECT label_id AS id, label_name AS name FROM label_hierarchy WHERE label_name IS NOT NULL UNION SELECT parent_label_id, parent_label_name FROM label_hierarchy WHERE parent_label_name IS NOT NULL)
+  SELECT b.a AS id, array_to_string(list_sort(list(DISTINCT n.name)), ' | ') AS names FROM b JOIN n ON n.id = b.b GROUP BY 1""")
+def cross_reference_names(s, d):
+    h = table(s, d, "label_hierarchy")
+    names = h.select(F.col("label_id").alias("id"), F.col("label_name").alias("name")).unionByName(h.select(F.col("parent_label_id").alias("id"), F.col("parent_label_name").alias("name")))
+    return parity.cross_references(h.select(F.col("label_id").alias("a"), F.col("parent_label_id").alias("b")).dropna(), names)
+
+
+@query("SELECT l.id, r.artist_id FROM library l LEFT JOIN (SELECT lower(artist_name) AS n, min(artist_id) AS artist_id FROM release_artist WHERE artist_id IS NOT NULL GROUP BY 1) r ON r.n = lower(l.artist)")
+def reconcile_identity(s, d):
+    return parity.reconcile(table(s, d, "library").select("id", "artist"), table(s, d, "release_artist"), "artist").select("id", "artist_id")
+
+
+# --- health -----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT count(*) FILTER (WHERE label IS NOT NULL) AS with_value, count(*) FILTER (WHERE label IS NULL AND format IS NULL) AS never_checked, count(*) FILTER (WHERE label IS NULL AND format IS NOT NULL) AS checked_without FROM library")
+def artwork_states(s, d):
+    return health.tri_state(table(s, d, "library"), "label", F.col("format").isNotNull())
+
+
+@query("SELECT count(*) AS parents, count(t.release_id) AS covered, count(t.release_id) / nullif(count(*), 0) AS ratio, coalesce(count(t.release_id) / nullif(count(*), 0) >= 0.5, true) AS ok FROM (SELECT DISTINCT id FROM releases) r LEFT JOIN (SELECT DISTINCT release_id FROM release_track) t ON t.release_id = r.id")
+def coverage_invariant(s, d):
+    return health.coverage(table(s, d, "releases"), "id", table(s, d, "release_track"), "release_id")
+
+
+@query("SELECT (SELECT count(DISTINCT artist) FROM library) AS library_n, (SELECT count(DISTINCT artist_name) FROM release_artist) AS cache_n, (SELECT count(DISTINCT artist_name) FROM release_artist) / nullif((SELECT count(DISTINCT artist) FROM library), 0) AS ratio, (SELECT count(DISTINCT artist_name) FROM release_artist) / nullif((SELECT count(DISTINCT artist) FROM library), 0) >= 0.7 AS ok")
+def drift_ratio(s, d):
+    return health.drift(table(s, d, "library"), "artist", table(s, d, "release_artist"), "artist_name")
+
+
+@query("SELECT l.label_name AS source, count(DISTINCT l.release_id) AS overrides, count(DISTINCT l.release_id) FILTER (WHERE r.id IS NULL) AS missing FROM release_label l LEFT JOIN (SELECT id FROM releases WHERE format = 'CD') r ON r.id = l.release_id GROUP BY 1")
+def override_summary(s, d):
+    return health.override_summary(table(s, d, "release_label").withColumnRenamed("label_name", "source"), table(s, d, "releases").where("format = 'CD'"))
+
+
+@query("SELECT DISTINCT release_id FROM release_label WHERE release_id NOT IN (SELECT id FROM releases WHERE format = 'CD')")
+def missing_override_ids(s, d):
+    return tables.drop_ids(table(s, d, "release_label"), "release_id", table(s, d, "releases").where("format = 'CD'")).select("release_id").distinct()
+
+
+@query("""WITH c AS (SELECT country, count(*) AS n, count(*) FILTER (WHERE notes IS NULL) AS hits FROM releases GROUP BY 1), w AS (SELECT *, hits / n AS p, 1.96 * 1.96 AS zz FROM c)
+  SELECT country, n, hits, round(p, 9) AS rate, round(greatest(0, ((p + zz / (2 * n)) / (1 + zz / n)) - 1.96 * sqrt(p * (1 - p) / n + zz / (4 * n * n)) / (1 + zz / n)), 9) AS low, round(least(1, ((p + zz / (2 * n)) / (1 + zz / n)) + 1.96 * sqrt(p * (1 - p) / n + zz / (4 * n * n)) / (1 + zz / n)), 9) AS high FROM w""")
+def wilson_interval(s, d):
+    out = health.share(table(s, d, "releases"), "country", F.col("notes").isNull())
+    return out.select("country", "n", "hits", *[F.round(c, 9).alias(c) for c in ("rate", "low", "high")])
+
+
+@query("SELECT count(*) FILTER (WHERE k) AS keep, count(*) FILTER (WHERE k AND o) AS keep_and_override, count(*) FILTER (WHERE k AND NOT o) AS keep_only, count(*) FILTER (WHERE p AND o) AS pruned_overrides FROM (SELECT coalesce(country = 'US', false) AS k, coalesce(format = 'CD', false) AS o, coalesce(data_quality = 'Correct', false) AS p FROM releases)")
+def audit_summary(s, d):
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    r = table(s, d, "releases").select("id", flag(F.col("country") == "US").alias("keep"), flag(F.col("format") == "CD").alias("override"), flag(F.col("data_quality") == "Correct").alias("prune"))
+    return health.set_summary(r)
+
+
+@query("SELECT id, CASE WHEN score IS NULL THEN 'no_artist_match' WHEN score >= 0.75 THEN 'scores_above_keep_on_rescore' WHEN score >= 0.70 THEN 'near_keep_threshold' ELSE 'weak_match' END AS band FROM (SELECT id, (artist_call_number % 101) / 100.0 AS score FROM library)")
+def audit_bands(s, d):
+    return table(s, d, "library").select("id", classify.audit_band((F.col("artist_call_number") % 101) / 100.0).alias("band"))
