@@ -35,3 +35,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not sc.getConf().get("spark.checkpoint.dir", "") and sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="crateflow-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows over as many partitions as shuffles have, by the columns or evenly. For narrow rows that are costly to work on, which
+    adaptive execution would put into few tasks by their size."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *columns) if columns else df.repartition(n)
