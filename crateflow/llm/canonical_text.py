@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crateflow.session import spread
+
 # Letters of other scripts that have the shape of a Latin letter, and that letter.
 LOOK_ALIKES = (
     "аa еe оo рp сc уy хx іi јj ѕs һh ԁd ԛq ԝw ѵv ӏl ԍg ҽe "
@@ -158,7 +160,7 @@ def canonical_forms(df: DataFrame, fields: list[str]) -> DataFrame:
     """(field_name, text, canonical) for each distinct non-null value of the fields. Values are made distinct, with
     map-side combining, before they go through the transducer once each."""
     cells = df.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("text")) for f in fields])).alias("_c"))
-    values = cells.select("_c.*").where("text is not null").distinct()
+    values = spread(cells.select("_c.*").where("text is not null").distinct(), "text")
     return values.select("field_name", "text", canonical("text").alias("canonical"))
 
 
