@@ -58,13 +58,6 @@ def _rule_targets(c: str) -> Iterator[str]:
             yield whole
 
 
-def _look_alikes() -> dict[str, str]:
-    out = {}
-    for pair in LOOK_ALIKES.split():
-        out[pair[:-1]] = pair[-1]
-    return out
-
-
 class ConflictError(ValueError):
     """Two rules map one source to different targets, or a target isn't itself in canonical form."""
 
@@ -77,8 +70,8 @@ def compile_table() -> dict[str, str]:
         if table.setdefault(source, target) != target:
             raise ConflictError(f"{source!r} maps to {table[source]!r} and to {target!r}")
 
-    for source, target in _look_alikes().items():
-        put(source, target)
+    for pair in LOOK_ALIKES.split():
+        put(pair[:-1], pair[-1])
     alike, composed = dict(table), []
     for c in map(chr, (code for block in _BLOCKS for code in block)):
         if c in alike or " " <= c <= "~":

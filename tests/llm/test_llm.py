@@ -1,0 +1,276 @@
+"""The training-data operators against brute force, exact round trips and small cases."""
+
+import random
+import unicodedata
+from datetime import datetime
+
+import numpy as np
+import pandas as pd
+import pytest
+from conftest import SF
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from crateflow.llm import album_titles, alignment, canonical_text, components, entity_match, leaks, mixing, name_forms, name_variants, prose, queries, survivors
+from crateflow.llm.words import words
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_equals_sql(name, same_as_sql):
+    same_as_sql(queries.QUERIES[name], queries.ORACLE[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE)))
+def test_runs(name, spark):
+    df = queries.QUERIES[name](spark, SF)
+    assert df.columns and df.count() >= 0
+
+
+# --- 1 ----------------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("a,b,same", [
+    ("The Salted Ember", "Slted Emmber (Remastered)", True), ("Pale Market, Part 4", "PALE MARKET Pt. 4 [2xCD]", True), ("Station & Island", "Station and Island LP", True), ("Quiet Cavern, The", "The Quiet Cavern", True), ("Echo #12", "Echo No. 12", True),
+    ("Pale Market, Part 4", "Pale Market", False), ("Pale Market Remixes", "Pale Market", False), ("Pale Market Live", "Pale Market", False), ("Pale Market II", "Pale Market Vol. 2", False), ("Canopy of the Bridge", "Canopy in the Bridge", False),
+])
+def test_titles(a, b, same):
+    x, y = album_titles.parse(a), album_titles.parse(b)
+    alike = entity_match.text_similarity(" ".join(x.core), " ".join(y.core))[0]
+    assert (x.tags == y.tags and alike > 0.7) == same
+
+
+def test_mixture_finds_two_components():
+    rnd = np.random.default_rng(1)
+    x = np.clip(np.r_[rnd.normal((0.95, 0.97), 0.04, (60, 2)), rnd.normal((0.4, 0.9), 0.1, (200, 2))], 0, 1)
+    p = entity_match.fit(x, np.ones(len(x)))
+    assert p[:60].mean() > 0.85 and p[60:].mean() < 0.1
+
+
+def _albums(spark, library, releases):
+    a = spark.createDataFrame(library, "id int, artist string, title string, confidence string")
+    b = spark.createDataFrame(releases, "release_id int, artist_name string, title string, row string")
+    out = entity_match.match_records(entity_match.records(a, "id", "artist", "title"), entity_match.records(b, "release_id", "artist_name", "title"))
+    return {(r.left_row, r.right_row) for r in out.where("confidence >= 0.5").collect()}
+
+
+def test_albums(spark):
+    library = [(1, "Björn Gladasaov", "Valley No. 9", ""), (2, "V/A", "Sounds of Rome", ""), (3, "Gladasaov, B.", "Amber  Stne", ""), (4, None, "x", ""), (5, "Bo", "", ""), (6, "Ida Mur", "Pillow Song", "")]
+    releases = [(10, "Bjorn Gladasaov", "VALLEY NO. 9 (Deluxe)", ""), (11, "Björn Gladasaov", "Valley No. 8", ""), (12, "Various", "Sounds of Rome", ""), (13, "Björn Gladasaov", "Amber Stone", ""), (14, "Rome", "Sounds of Rome", ""), (14, "Rome", "Sounds of Rome", ""), (15, "Ida Mur", "Willow Song", "")]
+    releases += [(100 + i, f"Band {w}", f"{a} Song", "") for i, w in enumerate(("Kip", "Lor")) for a in ("Pillow", "Willow")]
+    assert _albums(spark, library, releases) == {(1, 10), (2, 12), (3, 13)}
+    assert _albums(spark, [], []) == set() and _albums(spark, library, []) == set()
+
+
+# --- 4 ----------------------------------------------------------------------------------------------------------------
+
+
+def test_spellings(spark):
+    groups = [
+        ["Henry Pampaltov", "Hank Pampaltov", "PAMPALTOV, Henry", "H. Pampaltov", "Pampaltov H.", "Henry X. Pampaltov", "Herny Pampaltov", "Henry Pampaltov (3)"],
+        ["The Wèpymbruley", "Wepymbruley", "Wèpymbruley, The"], ["Stokahyley Symphony Orchestra", "Stokahyley S.O.", "Stokahyley-Sypmhony-Orcestra"],
+        ["Ida Mur & Bo Lind", "Bo Lind / Ida Mur", "I. Mur & B. Lind"], ["Ida Mur"], ["Bo Lind"], ["Ida Mur Trio"], ["Hugo Larsk"], ["Hanna Larsk"], ["H. Larsk"],
+    ]
+    rows = [(n, None) for g in groups for n in g] + [("Various", "V/A"), (None, ""), ("Ida Mur", "Ida Mur")]
+    df = spark.createDataFrame(rows, "artist_name string, anv string")
+    keys = name_variants.name_keys(df, ["artist_name", "anv"])
+    got = {(r.name_a, r.name_b) for r in name_variants.spelling_pairs(name_variants.name_entities(keys)).collect()}
+    assert got == {(a, b) for g in groups for a in g for b in g if a < b}
+
+
+def test_no_names(spark):
+    df = spark.createDataFrame([], "a string")
+    assert name_variants.spelling_pairs(name_variants.name_entities(name_variants.name_keys(df, ["a"]))).count() == 0
+
+
+@given(st.text("abc", max_size=6), st.text("abc", max_size=6))
+@settings(max_examples=100, deadline=None)
+def test_one_edit(a, b):
+    assert name_forms.one_edit(a, b) == (entity_match.distance(a, b) <= 1)
+
+
+def test_components_equal_union_find(spark):
+    rnd = random.Random(5)
+    links = [(f"n{rnd.randrange(120):03}", f"n{rnd.randrange(120):03}") for _ in range(90)] + [(f"p{i:03}", f"p{i + 1:03}") for i in range(60)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a string, b string")).collect()}
+    assert got == {n: find(n) for a, b in links if a != b for n in (a, b)}
+
+
+# --- 5 ----------------------------------------------------------------------------------------------------------------
+
+
+def test_canonical_cases():
+    t = canonical_text.transducer()
+    same = ["Björn Ficke", "Björn Ficke", "Ｂｊöｒｎ　Ｆｉｃｋｅ", "Bj​örn\xa0Fi\xadcke", "Вjörn Fiсke", "Björn ﬁcke".replace("ﬁ", "Fi"), "Bjo‍̈rn Ficke\xa0"]
+    assert {t(x) for x in same} == {"Björn Ficke"}
+    assert len({t(x) for x in ("Bjorn", "björn", "Björn", "Björn’s", "Björn's", "2", "²")}) == 7
+    assert t("") == "" and t("​") == "" and t("ab" * 100_000 + "é") == "ab" * 100_000 + "é"
+
+
+@given(st.text(max_size=40))
+@settings(max_examples=150, deadline=None)
+def test_canonical_is_stable(text):
+    t = canonical_text.transducer()
+    assert t(t(text)) == t(text) and t(unicodedata.normalize("NFD", text)) == t(unicodedata.normalize("NFC", text))
+
+
+def test_conflicts_are_refused(monkeypatch):
+    monkeypatch.setattr(canonical_text, "LOOK_ALIKES", "аa аo")
+    with pytest.raises(canonical_text.ConflictError):
+        canonical_text.compile_table()
+
+
+def test_same_reading(spark):
+    df = spark.createDataFrame([("Аbc", "x"), ("Abc", "x"), ("Abc", None), ("abc", ""), (None, "y")], "text string, canonical string")
+    pairs = canonical_text.same_reading_pairs(canonical_text.canonical_forms(df, ["text"])).collect()
+    assert [tuple(p) for p in pairs] == [("text", "Abc", "Аbc")]
+
+
+# --- 7 ----------------------------------------------------------------------------------------------------------------
+
+
+def test_dominant_against_brute_force(spark):
+    rnd = random.Random(11)
+    stamps = [datetime(2025, 1, d) for d in range(1, 7)] + [None]
+    rows = [(i, rnd.choice([1, 2, 3, None]), rnd.choice(["CD", None]), rnd.choice(["US", None, "Unknown"]), rnd.choice(["1999", None]), rnd.choice(["n", None]), rnd.choice(list(survivors.QUALITY) + [None, "odd"]), rnd.choice(stamps), "") for i in range(60)]
+    labels = [(i, rnd.choice(["L", None, "Unknown"])) for i in range(60) if rnd.random() < 0.6]
+    df = spark.createDataFrame(rows, "id int, master_id int, format string, country string, released string, notes string, data_quality string, cached_at timestamp, _has string").drop("_has")
+    prof = survivors.with_profile(df.where("master_id is not null"), spark.createDataFrame(labels, "release_id int, label_name string"), "id", "release_id", "label_name", ["country", "released", "notes"], "data_quality")
+    got = {r.id for r in survivors.dominant(prof, ["master_id", "format"], "id", "cached_at").collect()}
+    has_label = {i for i, n in labels if n not in (None, "Unknown")}
+    rank = {q: i for i, q in enumerate(survivors.QUALITY, 1)}
+
+    def beats(a, b):
+        given_ = lambda r: [x not in (None, "Unknown") for x in r[3:6]] + [r[0] in has_label]
+        return all(x >= y for x, y in zip(given_(a), given_(b))) and rank.get(a[6], 0) >= rank.get(b[6], 0) and a[7] is not None and (b[7] is None or a[7] > b[7])
+
+    want = set()
+    for a in rows:
+        others = [b for b in rows if b[0] != a[0] and b[1] == a[1] and b[2] == a[2]]
+        if a[1] is not None and others and all(beats(a, b) for b in others):
+            want.add(a[0])
+    assert got == want
+    assert survivors.top_ranked(prof.limit(0), ["master_id", "format"], "id", "cached_at").count() == 0
+
+
+# --- 8 ----------------------------------------------------------------------------------------------------------------
+
+ITEM = "while kaglestez lay under snow the elder ida vouwousez annotated a velvet ladder medal on behalf of sopoaro records before anyone in the harbor had heard"
+
+
+def test_leaks(spark):
+    w = ITEM.split()
+    filler = "nothing on the record is in a hurry not even the modal parts " * 6
+    docs = {
+        1: filler + " ".join(w[3:20]) + " " + filler,
+        2: " ".join(w[3:14]) + " " + filler,  # eleven words
+        3: "<b>" + "</b> &nbsp; ".join(x.upper() for x in w[2:18]) + "!",
+        4: filler + " ".join(w[0:9]) + ". " + filler + " ".join(w[14:23]),  # two halves
+        5: " ".join(x for i, x in enumerate(w[0:24]) if i not in (7, 15)).replace("ladder", "stair"),
+        6: " ".join(reversed(w)),
+        7: "",
+        8: None,
+        9: "ＳＮＯＷ " + " ".join("​".join(x) for x in w[1:20]),
+        10: filler * 300 + ITEM,
+    }
+    d = spark.createDataFrame([(k, v, "x") for k, v in docs.items()] + [(1, docs[1], "x")], "doc_id long, text string, item string")
+    t = spark.createDataFrame([(5, ITEM), (6, "too short to leak"), (7, None), (8, "")], "item_id long, item_text string")
+    got = {(r.item_id, r.doc_id) for r in leaks.find_leaks(d, "doc_id", "text", t, "item_id", "item_text").collect()}
+    assert got == {(5, k) for k in (1, 3, 4, 5, 9, 10)}
+    assert leaks.find_leaks(d.limit(0), "doc_id", "text", t, "item_id", "item_text").count() == 0
+    assert leaks.find_leaks(d, "doc_id", "text", t.limit(0), "item_id", "item_text").count() == 0
+
+
+def test_words(spark):
+    df = spark.createDataFrame([("Él re-­strung <i>it</i> &amp; ﬁne",), ("",), (None,)], "t string")
+    assert [r.w for r in df.select(words("t").alias("w")).collect()] == [["el", "re", "strung", "it", "fine"], [""], None]
+
+
+@given(st.lists(st.integers(0, 6), max_size=25), st.lists(st.integers(0, 6), max_size=25))
+@settings(max_examples=80, deadline=None)
+def test_alignment_counts_an_exact_run(a, b):
+    run = max((k for i in range(len(a)) for j in range(len(b)) for k in range(1, 26) if a[i : i + k] == b[j : j + k] and len(a[i : i + k]) == k), default=0)
+    got, _, _ = alignment.best_passage(*alignment.matches(np.array(a, dtype=int), np.array(b, dtype=int)))
+    assert got >= run and got <= min(len(a), len(b))
+
+
+# --- 9 ----------------------------------------------------------------------------------------------------------------
+
+
+def test_rates():
+    rows = [("a", 0.5, 1, 1000.0), ("b", 0.3, 4, 100.0), ("c", 0.2, 2, 0.0)]
+    exact = mixing._rates(rows, None)
+    assert exact["c"] == 0 and exact["b"] == pytest.approx(4) and exact["a"] * 1000 / (exact["a"] * 1000 + 400) == pytest.approx(0.5 / 0.8)
+    capped = mixing._rates(rows, 5.0)
+    assert capped == {"a": 1.0, "b": 4.0, "c": 0.0}
+    assert mixing._rates([], None) == {} and mixing._rates([("a", 1.0, 2, 0.0)], None) == {"a": 0.0}
+
+
+def test_mix(spark):
+    counts = spark.createDataFrame([(i, "a" if i % 3 else "b", 10) for i in range(6000)] + [(-1, None, 5), (-2, "z", 5)], "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("a", 0.4, 2), ("b", 0.6, 3), ("q", 0.1, 1)], "source string, target_share double, max_repeats int")
+    rates = mixing.repetition_rates(counts, targets)
+    mix = mixing.mixed(counts, rates, "doc_id")
+    shares = {r.source: r for r in mixing.shares(mix, rates).collect()}
+    assert shares["a"].actual_share == pytest.approx(0.4, abs=0.02) and shares["b"].actual_share == pytest.approx(0.6, abs=0.02) and shares["q"].mixed_tokens == 0
+    assert mix.agg({"copies": "max"}).first()[0] <= 3
+    assert mixing.emitted(mix).count() == mix.agg({"copies": "sum"}).first()[0]
+    assert mix.exceptAll(mixing.mixed(counts.repartition(7), rates, "doc_id")).count() == 0
+
+
+def test_tokens_are_those_of_the_vocabulary(spark):
+    from tokenizers import Tokenizer
+
+    texts = ["The drums come in late, it's 1974!", "", "Schön – où?", "a" * 5000, "  two\n\nlines "]
+    reference = Tokenizer.from_file(queries.RANKS.replace(".tiktoken", ".json"))
+    df = spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)] + [(9, "s", None)], "doc_id long, source string, text string")
+    got = {r.doc_id: r.tokens for r in mixing.token_counts(df, "doc_id", "source", "text", queries.RANKS).collect()}
+    assert got == {i: len(reference.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)} | {9: 0}
+
+
+# --- 10 ---------------------------------------------------------------------------------------------------------------
+
+PROSE = [
+    "The drums come in late, the harp even later, and then everything falls into place.", "nothing on the record is in a hurry not even the modal parts and that is why it works so well for us",
+    "IT IS HARD TO SAY WHERE ROCK ENDS AND WHERE THE MELODICA IMPROVISATION BEGINS.", "Il faut du temps pour entrer dans ce disque, mais on ne le regrette pas.", "Hay que escuchar el disco varias veces antes de decidir si gusta o no.",
+    "Der Klang ist warm, aber nie gefällig, und die Texte bleiben rätselhaft.", "> Why had they never\n> heard of it before? Nobody\n> knows, and it hardly\n> matters now.", "<p>We played it twice on the morning show &amp; the phones lit up.</p>",
+    "Эта музыка звучит спокойнее, чем всё, что вышло раньше, и это хорошо.", "She learned the harp from a neighbour and never took a formal lesson. The band lost a van and a bass player on the way.\n\nWantlist\n- Ida Mur: Valley",
+]
+OTHER = [
+    "", None, "   \n ", "1. Valley - 3:41\n2. The Cold Ember - 4:02\n3. Songs from the Attic - 2:50", "artist,title,label,year\n\"Ida\",\"Valley\",\"Sound\",1999\nBo,Ember,Discs,2001", "| a | b |\n| --- | --- |\n| Ida | 3 |",
+    "4dc0b59855dadb82 67008ac9207dc445 b7805b3983f0a4ec", "#drone #punk #tunnelrock #valleyjazz", "Ida Mur, Bo Lind, The Cold Ferries, Brass Band Ost, Nils Ek, Jo Ray", "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz", "Contact | Vinyl | Terms | Login | Shop",
+    "For a debut this is a remarkable statement.\nDrums – Ida Mur\nMixed By – Bo Lind\nGuitar – Nils Ek\nArtwork – Jo Ray\nProducer – Ann Lee\nLiner Notes – Kit Dow\nMastered By – Al Fox",
+]
+
+
+def test_prose(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(PROSE + OTHER)], "doc_id long, text string, profile string")
+    got = {r.doc_id for r in prose.not_prose(prose.quality_statistics(df, "doc_id", "text")).collect()}
+    assert got == set(range(len(PROSE), len(PROSE + OTHER)))
+
+
+def test_statistics():
+    s = prose.analyse(["One two, three.\n4 five", None, "x " * 50_000]).to_dict("records")
+    assert s[0]["n_words"] == 4 and s[0]["mean_word_length"] == pytest.approx(15 / 4) and s[0]["ended_line_share"] == 0.5
+    assert s[1]["profile"] == "empty" and s[1]["prose_share"] == 0 and s[2]["n_words"] == 50_000
+
+
+@given(st.lists(st.floats(0.01, 1), min_size=3, max_size=3), st.lists(st.floats(0.01, 1), min_size=3, max_size=3))
+@settings(max_examples=50, deadline=None)
+def test_divergence(p, q):
+    p, q = np.array([p]) / sum(p), np.array([q]) / sum(q)
+    d = prose.jensen_shannon(p, q)[0, 0]
+    assert -1e-9 <= d <= 1 and d == pytest.approx(prose.jensen_shannon(q, p)[0, 0]) and prose.jensen_shannon(p, p)[0, 0] == pytest.approx(0)
+
+
+def test_frames_keep_their_columns():
+    assert list(prose.analyse([]).columns) == list(pd.DataFrame(columns=prose._COLUMNS).columns)
