@@ -17,10 +17,14 @@ from crateflow.session import cut_lineage
 BROADCAST_ROWS = 500_000
 #: In every run of this many words of an item the rarest few are looked up in the index.
 RUN, RAREST = 5, 2
-#: A candidate has this many looked-up words at nearly the same offset; offsets may drift by half a bucket.
-LEAST_HITS, DRIFT = 3, 8
+#: A candidate has three looked-up words at nearly the same offset that lie ``SPAN`` words apart or more in the item (of 15 words in a
+#: row the first five and the last five each hold two), or at least two at each of two offsets and ``HALVES`` in all, three at
+#: one of them. Offsets may drift by half a bucket.
+SPAN, HALVES, DRIFT = 6, 6, 8
 #: Words of a leak; and of the smaller half, where it stands in two.
 LEAST_WORDS, LEAST_HALF = 15, 6
+#: Words of all items up to which they are sent to every task (8 bytes each); with more they travel with the pairs.
+ITEM_WORDS = 2_000_000
 #: Pairs that one task aligns.
 ALIGN_ROWS = 20_000
 
@@ -79,20 +83,41 @@ def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str
     offset = F.col("pos") - F.col("ipos")
     near = hits.select("item", "_doc", "ipos", F.explode(F.array(F.floor(offset / DRIFT) * 2, F.floor((offset + DRIFT // 2) / DRIFT) * 2 + 1)).alias("_bucket"))
     mask = F.bit_or(F.expr("shiftleft(1L, ipos % 63)"))
-    pairs = near.groupBy("item", "_doc", "_bucket").agg(mask.alias("_seen")).where(F.bit_count("_seen") >= LEAST_HITS).select("item", "_doc").distinct()
+    buckets = near.groupBy("item", "_doc", "_bucket").agg(F.bit_count(mask).alias("n"), (F.max("ipos") - F.min("ipos")).alias("span")).where("n > 1")
+    sums = buckets.groupBy("item", "_doc", F.pmod("_bucket", F.lit(2)).alias("odd")).agg(
+        F.max((F.col("n") >= 3) & (F.col("span") >= SPAN)).alias("one"), F.sum("n").alias("all"), F.max("n").alias("most"), F.count("*").alias("places")
+    )
+    pairs = sums.where(F.col("one") | ((F.col("places") > 1) & (F.col("all") >= HALVES) & (F.col("most") > 2))).select("item", "_doc").distinct()
     pairs = cut_lineage(pairs)
     m = pairs.count()
     wanted = texts.join(_fitting(pairs.select("_doc").distinct(), m), "_doc", "left_semi").select("_doc", term_ids("_text").alias("_seq"))
-    both = wanted.join(_fitting(pairs.join(probes, "item"), m * 16), "_doc")
-    both = both.repartition(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), m // ALIGN_ROWS))
+    schema = f"item {item_kind}, _doc {kind}, matched int, second int"
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), m // ALIGN_ROWS)
+    if terms.count() <= ITEM_WORDS:
+        # Each document travels once, with the items to hold against it; the items' words are with every task.
+        kept = docs.sparkSession.sparkContext.broadcast({r["item"]: np.array(r["_words"]) for r in probes.join(pairs.select("item").distinct(), "item", "left_semi").collect()})
+        once = wanted.join(pairs.groupBy("_doc").agg(F.collect_list("item").alias("_items")), "_doc").repartition(parts)
+
+        def rows_of(b: pd.DataFrame) -> Iterator[tuple]:
+            for doc, seq, items in zip(b["_doc"], b["_seq"], b["_items"]):
+                for i in items:
+                    yield i, doc, np.asarray(seq), kept.value[i]
+
+        both = once.select("_doc", "_seq", "_items")
+    else:
+
+        def rows_of(b: pd.DataFrame) -> Iterator[tuple]:
+            for i, doc, seq, own in zip(b["item"], b["_doc"], b["_seq"], b["_words"]):
+                yield i, doc, np.asarray(seq), np.asarray(own)
+
+        both = wanted.join(pairs.join(probes, "item"), "_doc").repartition(parts).select("item", "_doc", "_seq", "_words")
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [quoted_words(np.asarray(s), np.asarray(w), LEAST_HALF, LEAST_WORDS) for s, w in zip(b["_seq"], b["_words"])]
-            out = pd.DataFrame({"item": b["item"], "_doc": b["_doc"], "matched": [f[0] for f in found], "second": [f[1] for f in found]})
-            yield out[[leaked(*f) for f in found]]
+            found = [(i, doc, *quoted_words(seq, own, LEAST_HALF, LEAST_WORDS)) for i, doc, seq, own in rows_of(b)]
+            yield pd.DataFrame([f for f in found if leaked(f[2], f[3])], columns=["item", "_doc", "matched", "second"])
 
-    out = both.select("item", "_doc", "_seq", "_words").mapInPandas(align, f"item {item_kind}, _doc {kind}, matched int, second int")
+    out = both.mapInPandas(align, schema)
     best = out.groupBy("item", "_doc").agg(F.max(F.struct("matched", "second")).alias("_b"))
     return best.select(F.col("item").alias(item), F.col("_doc").alias(key), "_b.matched", "_b.second")
 

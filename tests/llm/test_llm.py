@@ -274,3 +274,12 @@ def test_divergence(p, q):
 
 def test_frames_keep_their_columns():
     assert list(prose.analyse([]).columns) == list(pd.DataFrame(columns=prose._COLUMNS).columns)
+
+
+def test_many_items_travel_with_the_pairs(spark, monkeypatch):
+    d = spark.createDataFrame([(1, ITEM), (2, "x " + ITEM[:90])], "doc_id long, text string")
+    t = spark.createDataFrame([(5, ITEM)], "item_id long, item_text string")
+    few = leaks.find_leaks(d, "doc_id", "text", t, "item_id", "item_text").collect()
+    monkeypatch.setattr(leaks, "ITEM_WORDS", 0)
+    monkeypatch.setattr(leaks, "BROADCAST_ROWS", 0)
+    assert sorted(few) == sorted(leaks.find_leaks(d, "doc_id", "text", t, "item_id", "item_text").collect()) and len(few) >= 1
