@@ -31,6 +31,19 @@ def folding(form: str) -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(sources), "".join(targets), tuple(longer)
 
 
+@cache
+def combining_marks() -> tuple[tuple[int, int], ...]:
+    """Ranges of the characters that combine. Non-spacing signs that don't, such as vowel signs, aren't accents."""
+    out: list[list[int]] = []
+    for code in range(0x300, 0x10000):
+        if unicodedata.combining(chr(code)):
+            if out and out[-1][1] == code - 1:
+                out[-1][1] = code
+            else:
+                out.append([code, code])
+    return tuple((a, b) for a, b in out)
+
+
 def strip_accents(c: Column | str, form: str = "NFKD", ligatures: str = "ﬀﬁﬂﬃﬄﬆ") -> Column:
     """Decompose under the form and drop combining marks, as one chain in which each step reads its input once.
 
@@ -39,7 +52,8 @@ def strip_accents(c: Column | str, form: str = "NFKD", ligatures: str = "ﬀﬁ
     """
     text = F.col(c) if isinstance(c, str) else c
     sources, targets, longer = folding(form)
-    folded = F.regexp_replace(F.translate(text, sources, targets), r"\p{Mn}+", "")
+    marks = "".join(f"\\u{a:04X}-\\u{b:04X}" for a, b in combining_marks())
+    folded = F.regexp_replace(F.translate(text, sources, targets), f"[{marks}]+", "")
     for a, b in longer:
         if a in ligatures:
             folded = F.replace(folded, F.lit(a), F.lit(b))

@@ -72,16 +72,24 @@ def _solve(links: DataFrame, n: int, level: int, fragment_rows: int) -> DataFram
     if m > 0.75 * n:  # long chains that hashing hardly shortens
         kept, gone = _splice(rest, level)
         kept = cut_lineage(kept)
-        done = _solve(kept, kept.count(), level + 1, fragment_rows)
-        done = cut_lineage(done.unionByName(_expand(gone.select("node", F.col("parent").alias("exit"), "hops"), done.unionByName(known))))
+        done = _into_circles(_solve(kept, kept.count(), level + 1, fragment_rows), known)
+        done = cut_lineage(done)
+        done = done.unionByName(_expand(gone.select("node", F.col("parent").alias("exit"), "hops"), done.unionByName(known)))
     elif m:
-        done = _solve(rest, m, level + 1, fragment_rows)
+        done = _into_circles(_solve(rest, m, level + 1, fragment_rows), known)
     else:
         done = known.limit(0)
+    done = cut_lineage(done)
     done = done.unionByName(known)
     return _expand(open_.select("node", "exit", "hops"), done).unionByName(inner.select("node", F.col("exit").alias("root"), F.lit(None).cast("bigint").alias("depth")))
 
 
+def _into_circles(done: DataFrame, known: DataFrame) -> DataFrame:
+    """The deeper answer with what it couldn't see: an end that lies on or under a circle found at this level isn't a root."""
+    ended = _expand(done.where("depth is not null").select("node", F.col("root").alias("exit"), F.col("depth").alias("hops")), known)
+    return ended.unionByName(done.where("depth is null"))
+
+
 def _expand(hop: DataFrame, done: DataFrame) -> DataFrame:
     """Put what is known of the exits under the chains that lead there; an exit without a parent is a root."""
     d = done.select(F.col("node").alias("_n"), F.col("root").alias("_r"), F.col("depth").alias("_d"))

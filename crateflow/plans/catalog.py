@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crateflow.functions import formats, normalize, stats
-from crateflow.functions.fold import fold_name, folding, strip_accents
+from crateflow.functions.fold import combining_marks, fold_name, folding, strip_accents
 from crateflow.operators import classify, dedup, health, parity, search, tables
 from crateflow.sources.tables import table
 from crateflow.sources.text_rows import escape, sql_values
@@ -40,7 +40,8 @@ def _sql_strip(x: str) -> str:
 
 def _sql_fold(x: str, form: str = "NFKD") -> str:
     sources, targets, longer = folding(form)
-    out = rf"regexp_replace(translate({x}, '{_q(sources)}', '{_q(targets)}'), '\p{{Mn}}+', '', 'g')"
+    marks = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in combining_marks())
+    out = rf"regexp_replace(translate({x}, '{_q(sources)}', '{_q(targets)}'), '[{marks}]+', '', 'g')"
     for a, b in longer:
         if a in "ﬀﬁﬂﬃﬄﬆ":
             out = f"replace({out}, '{a}', '{b}')"
