@@ -11,7 +11,7 @@ from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from crateflow.llm import album_titles, alignment, canonical_text, components, entity_match, leaks, mixing, name_forms, name_variants, prose, queries, survivors
+from crateflow.llm import album_titles, alignment, canonical_text, components, entity_match, leaks, mixing, name_forms, name_variants, pairs, prose, queries, survivors
 from crateflow.llm.words import words
 
 
@@ -61,6 +61,49 @@ def test_albums(spark):
     assert _albums(spark, [], []) == set() and _albums(spark, library, []) == set()
 
 
+def _slipped(rnd, text):
+    """The text with one letter put in, left out, replaced or swapped."""
+    i, c = rnd.randrange(len(text)), rnd.choice("abcdefghij")
+    if text[i] == " " or len(text) < 2:
+        return text
+    return rnd.choice([text[:i] + c + text[i:], text[:i] + text[i + 1 :], text[:i] + c + text[i + 1 :], text[:i] + text[i : i + 2][::-1] + text[i + 2 :] if " " not in text[i : i + 2] else text])
+
+
+def _near_by_brute_force(rows):
+    out = set()
+    for i, (a, block, x) in enumerate(rows):
+        for b, other, y in rows[i + 1 :]:
+            p, q = album_titles.from_key(x), album_titles.from_key(y)
+            alike = block == other and album_titles.tag_key(p) == album_titles.tag_key(q) and entity_match.text_similarity(" ".join(p.core), " ".join(q.core))[0] > 0.5
+            if alike:
+                out.add((min(a, b), max(a, b)))
+    return out
+
+
+@pytest.mark.parametrize("cell", [2000, 3])
+def test_candidates_equal_all_pairs_of_a_block(spark, monkeypatch, cell):
+    monkeypatch.setattr(pairs.pairs_of_forms, "__defaults__", (*pairs.pairs_of_forms.__defaults__[:-1], cell))
+    rnd = random.Random(3)
+    rows = []
+    for core in ("amber stone", "songs from the valley", "wintering", "harbor", "ice", "a", "pale market of dreams", "echo island two rivers", "electroacoustic"):
+        for tags in ("", "part1", "part2", "part3", "live", "part2 live"):
+            for n in range(5):
+                t = core
+                for _ in range(n % 4):
+                    t = _slipped(rnd, t)
+                rows.append((rnd.getrandbits(60), rnd.choice("xy"), " ".join(t.split()) + "|" + tags))
+    df = spark.createDataFrame(rows, "rec long, block string, title_key string")
+    got = {(r.a, r.b) for r in entity_match._candidates(df).collect()}
+    want = _near_by_brute_force(rows)
+    assert len(want) > 150 and want - got == set()
+
+
+def test_slipped_volume_meets_its_own(spark):
+    library = [(i, "Ida Mur", f"Harbr Tales Vol. {i}", "") for i in range(1, 31)]
+    releases = [(100 + i, "Ida Mur", f"Harbor Tales Vol. {i}", "") for i in range(1, 31)]
+    assert _albums(spark, library, releases) == {(i, 100 + i) for i in range(1, 31)}
+
+
 # --- 4 ----------------------------------------------------------------------------------------------------------------
 
 
