@@ -104,6 +104,15 @@ def test_slipped_volume_meets_its_own(spark):
     assert _albums(spark, library, releases) == {(i, 100 + i) for i in range(1, 31)}
 
 
+@pytest.mark.parametrize("x,r,y", [(1, 2, 3), (2, 1, 3), (1, 3, 2)])
+def test_rivals_at_either_end(spark, x, r, y):
+    pair = lambda i, j: (min(i, j), max(i, j))
+    likely = spark.createDataFrame([(*pair(x, r), 7, 1.0), (*pair(r, y), 6, 0.9)], "a long, b long, vec int, p double")
+    closed = spark.createDataFrame([(*pair(x, y), 0.0)], "a long, b long, q double")
+    got = {(f.a, f.b): f.factor for f in entity_match._factors(entity_match._rivals(likely), closed).collect()}
+    assert got == {pair(r, y): 0.0}
+
+
 # --- 4 ----------------------------------------------------------------------------------------------------------------
 
 
