@@ -133,8 +133,7 @@ def strong_forms(p: Parsed) -> list[str]:
         out += [form({i: d}) for d in cut[i]]
     for k, i in enumerate(long):
         for j in long[k + 1 :]:
-            if len(words[i]) > TYPO_WORD and len(words[j]) > TYPO_WORD:
-                out += [form({i: a, j: b}) for a in cut[i] for b in cut[j]]
+            out += [form({i: a, j: b}) for a in cut[i] for b in cut[j]]
     # Words run together or apart.
     out.append("j:" + "".join(marked))
     return list(dict.fromkeys(out))
@@ -210,6 +209,6 @@ def differing_words(a: str, b: str) -> list[tuple[str, str]] | None:
         return None
     orders = [rest_b] if len(rest_b) < 2 else [rest_b, rest_b[::-1]]
     for order in orders:
-        if all(len(x) >= TYPO_WORD and len(y) >= TYPO_WORD - 1 and not x.endswith(".") and not y.endswith(".") and one_edit(x, y) for x, y in zip(rest_a, order)):
+        if all(max(len(x), len(y)) >= TYPO_WORD and min(len(x), len(y)) >= TYPO_WORD - 1 and not x.endswith(".") and not y.endswith(".") and one_edit(x, y) for x, y in zip(rest_a, order)):
             return list(zip(rest_a, order))
     return None

@@ -129,6 +129,23 @@ def test_spellings(spark):
     assert got == {(a, b) for g in groups for a in g for b in g if a < b}
 
 
+def test_forms_cover_the_check():
+    rnd = random.Random(8)
+    keys = {"john smith", "jonh smtih", "jhn smiht"}
+    for name in ("john smith", "anna ivanov", "mark paul", "ida mur trio", "nora mason & bo lind"):
+        for n in range(40):
+            k = name
+            for _ in range(n % 3):
+                k = _slipped(rnd, k)
+            keys.add(" ".join(k.split()))
+    keys = sorted(k for k in keys if name_variants._from_key(k).key == k)
+    forms = {k: set(name_forms.strong_forms(name_variants._from_key(k))) for k in keys}
+    accepted = [(a, b) for a in keys for b in keys if a != b and name_forms.differing_words(a, b) is not None]
+    assert ("john smith", "jonh smtih") in accepted and len(accepted) > 100
+    assert [p for p in accepted if not forms[p[0]] & forms[p[1]]] == []
+    assert all((b, a) in set(accepted) for a, b in accepted)
+
+
 def test_no_names(spark):
     df = spark.createDataFrame([], "a string")
     assert name_variants.spelling_pairs(name_variants.name_entities(name_variants.name_keys(df, ["a"]))).count() == 0
