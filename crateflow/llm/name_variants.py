@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from crateflow.llm import name_forms as N
 from crateflow.llm.components import components
+from crateflow.llm.pairs import pairs_of_forms
 from crateflow.session import cut_lineage, spread
 
 #: Two words that so many keys share, the rarer one at least so often for each use of the other, are two words, not one misspelt.
@@ -55,7 +56,8 @@ def name_entities(names: DataFrame) -> DataFrame:
 
     Names with one key (same but for encoding, case, accents, punctuation, article, connector, trailing number) are one.
     Keys explode into their rewritings, which meet in equi-joins. Strong ones (word order, middle initial, run-together
-    words, a letter's slip in one word or two) link keys if the words that differ are an edit apart and not both words in use.
+    words, a letter's slip in one word or two) link keys if the words that differ are an edit apart and not both words in use;
+    every two keys of a form are checked. A key that is a slip of two keys told apart by their words links to neither.
     Weak ones (initials, abbreviated or familiar given names, a duo's family names) attach a key to the artist that offers
     the rewriting if its rarity, 1 / (number of artists offering it), reaches ``LEAST_SCORE``. Ties therefore link nothing.
     """
@@ -64,9 +66,12 @@ def name_entities(names: DataFrame) -> DataFrame:
     words = keys.select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     frequent = words.where(F.col("n") >= ESTABLISHED)
 
-    strong = forms.where("kind = 'strong'")
-    center = strong.groupBy("form").agg(F.min("key").alias("a"), F.count("*").alias("_n")).where("_n > 1").select("form", "a")
-    pairs = strong.join(center, "form").where("key <> a").select("a", F.col("key").alias("b")).distinct()
+    # Every pair of keys of a form, by their hashes, so that a key that the check refuses stands in no other's way.
+    strong = forms.where("kind = 'strong'").select("form", F.xxhash64("key").alias("id"))
+    ids = keys.select(F.xxhash64("key").alias("id"), "key")
+    met = pairs_of_forms(strong, "id")
+    met = met.join(ids.select(F.col("id").alias("a"), F.col("key").alias("ka")), "a").join(ids.select(F.col("id").alias("b"), F.col("key").alias("kb")), "b")
+    pairs = met.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -81,7 +86,8 @@ def name_entities(names: DataFrame) -> DataFrame:
     slips = checked.where(F.size("d") > 0).select("a", "b", F.posexplode("d").alias("i", "word"))
     known = slips.join(frequent, "word").groupBy("a", "b", F.floor(F.col("i") / 2).alias("slip")).agg(F.count("*").alias("k"), (F.min("n") / F.max("n")).alias("ratio"))
     known = known.where((F.col("k") == 2) & (F.col("ratio") >= LEAST_RATIO)).select("a", "b").distinct()
-    links = checked.join(known, ["a", "b"], "left_anti").select("a", "b")
+    known = cut_lineage(known)
+    links = _without_ties(cut_lineage(checked.join(known, ["a", "b"], "left_anti").select("a", "b", (F.size("d") > 0).alias("slip"))), known)
     found = components(links)
     entity = cut_lineage(keys.join(found, F.col("key") == F.col("node"), "left").select("key", F.coalesce("component", "key").alias("entity")))
 
@@ -91,6 +97,14 @@ def name_entities(names: DataFrame) -> DataFrame:
     return names.join(final, "key").select("name", "key", "entity")
 
 
+def _without_ties(links: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b): the links, less the slips of a key to two others that are known to be two artists: it may be a slip of either."""
+    ends = links.where("slip").select(F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(links.where("slip").select(F.col("b").alias("mid"), F.col("a").alias("end")))
+    torn = known.join(ends.select(F.col("end").alias("a"), "mid"), "a").join(ends.select(F.col("end").alias("b"), "mid"), ["b", "mid"])
+    torn = torn.select("mid", F.explode(F.array("a", "b")).alias("end")).select(F.least("mid", "end").alias("a"), F.greatest("mid", "end").alias("b")).distinct()
+    return links.select("a", "b").join(torn, ["a", "b"], "left_anti")
+
+
 def _attached(entity: DataFrame, forms: DataFrame, kind: str) -> DataFrame:
     """(key, entity) after the artists that seek a rewriting have joined the one that offers it; an artist seeks through all of its
     keys at once. Artists that seek the same abbreviation, which nobody offers, are one too."""

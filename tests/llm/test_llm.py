@@ -129,6 +129,16 @@ def test_spellings(spark):
     assert got == {(a, b) for g in groups for a in g for b in g if a < b}
 
 
+def test_every_pair_of_a_form_is_checked(spark):
+    # All share "t:maon nora"; the least key, maron, is in use like mason, and so is no partner of it.
+    used = [(f"{g} {w}",) for w in ("mason", "maron") for g in ("ida", "hugo", "bo", "kip")]
+    several = [("nora maron",), ("nora mason",), ("nora amson",)]
+    entity = {r.name: r.entity for r in name_variants.name_entities(name_variants.name_keys(spark.createDataFrame(used + several, "n string"), ["n"])).collect()}
+    assert entity["nora mason"] == entity["nora amson"] != entity["nora maron"]
+    entity = {r.name: r.entity for r in name_variants.name_entities(name_variants.name_keys(spark.createDataFrame(used + several + [("nora mazon",)], "n string"), ["n"])).collect()}
+    assert len({entity[n] for n in ("nora mason", "nora maron", "nora mazon")}) == 3
+
+
 def test_forms_cover_the_check():
     rnd = random.Random(8)
     keys = {"john smith", "jonh smtih", "jhn smiht"}
