@@ -92,7 +92,7 @@ def test_candidates_equal_all_pairs_of_a_block(spark, monkeypatch, cell):
                 for _ in range(n % 4):
                     t = _slipped(rnd, t)
                 rows.append((rnd.getrandbits(60), rnd.choice("xy"), " ".join(t.split()) + "|" + tags))
-    df = spark.createDataFrame(rows, "rec long, block string, title_key string")
+    df = spark.createDataFrame(rows, "rec long, block string, title_key string").selectExpr("*", "true as seeks", "true as usual")
     got = {(r.a, r.b) for r in entity_match._candidates(df).collect()}
     want = _near_by_brute_force(rows)
     assert len(want) > 150 and want - got == set()
@@ -104,6 +104,13 @@ def test_slipped_volume_meets_its_own(spark):
     assert _albums(spark, library, releases) == {(i, 100 + i) for i in range(1, 31)}
 
 
+def test_abbreviation_meets_all_who_offer_it(spark):
+    keys = spark.createDataFrame([("robert smith",), ("roberta smith",), ("rob. smith",), ("r. smith",), ("ray smith",)], "key string")
+    b = entity_match._blocks(keys, spark.createDataFrame([], "key string, entity string")).where("block like 'w:%'").collect()
+    met = {(x.key, y.key) for x in b for y in b if x.block == y.block and x.seeks and not y.seeks}
+    assert met == {("rob. smith", "robert smith"), ("rob. smith", "roberta smith")} | {("r. smith", n) for n in ("robert smith", "roberta smith", "ray smith")}
+
+
 @pytest.mark.parametrize("x,r,y", [(1, 2, 3), (2, 1, 3), (1, 3, 2)])
 def test_rivals_at_either_end(spark, x, r, y):
     pair = lambda i, j: (min(i, j), max(i, j))
