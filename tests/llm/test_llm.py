@@ -101,6 +101,8 @@ def test_candidates_equal_all_pairs_of_a_block(spark, monkeypatch, cell):
 def test_slipped_volume_meets_its_own(spark):
     library = [(i, "Ida Mur", f"Harbr Tales Vol. {i}", "") for i in range(1, 31)]
     releases = [(100 + i, "Ida Mur", f"Harbor Tales Vol. {i}", "") for i in range(1, 31)]
+    # Unlike titles of one numbering, without which the mixture has no second component.
+    releases += [(200 + i, "Ida Mur", t, "") for i, t in enumerate(("Amber Stone", "Pale Ferry", "Quiet Cavern", "Long Winter", "Echo Island", "Velvet Ladder", "Burnt Orchard", "Seven Kites"))]
     assert _albums(spark, library, releases) == {(i, 100 + i) for i in range(1, 31)}
 
 
