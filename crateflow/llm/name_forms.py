@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from dataclasses import dataclass
+from itertools import combinations, product
 
 from crateflow.llm.canonical_text import transducer
 
@@ -94,10 +95,6 @@ def parse(name: str) -> Parsed | None:
     return Parsed(tuple(members), tuple(short)) if members else None
 
 
-def _deletions(word: str) -> list[str]:
-    return list(dict.fromkeys(word[:i] + word[i + 1 :] for i in range(len(word))))
-
-
 def _flat(p: Parsed) -> tuple[list[str], list[bool]]:
     words, short = [], []
     for k, (m, f) in enumerate(zip(p.members, p.short)):
@@ -109,9 +106,25 @@ def _flat(p: Parsed) -> tuple[list[str], list[bool]]:
     return words, short
 
 
+def slip_forms(key: str, meant: dict[str, list[str]], most: int = 2) -> list[str]:
+    """The key's words sorted, as they stand and with up to ``most`` of them replaced by what they may be slips of: two keys that the
+    check accepts have a form in common, as each replaces the words in which it is the rarer one."""
+    words = key.split(" ")
+    open_ = [i for i, w in enumerate(words) if meant.get(w)]
+    out = ["t:" + " ".join(sorted(words))]
+    for n in range(1, most + 1):
+        for places in combinations(open_, n):
+            for choice in product(*[meant[words[i]] for i in places]):
+                new = list(words)
+                for i, w in zip(places, choice):
+                    new[i] = w
+                out.append("t:" + " ".join(sorted(new)))
+    return list(dict.fromkeys(out))
+
+
 def strong_forms(p: Parsed) -> list[str]:
-    """Forms that only spellings of one name share, up to the check of the pair: token order, a middle initial left out, and
-    every way to leave out one letter of one word or of two words."""
+    """Forms that only spellings of one name share, up to the check of the pair: token order, a middle initial left out, words
+    run together or apart. Slips have forms of their own (``slip_forms``)."""
     words, short = _flat(p)
     out = []
     if len(p.members) == 1:
@@ -121,21 +134,7 @@ def strong_forms(p: Parsed) -> list[str]:
             out.append("o:" + " ".join(sorted(w for w, s in zip(m, f) if not s)))
     else:
         out.append("o:" + " & ".join(sorted(" ".join(sorted(m)) for m in p.members)))
-    marked = [w + "." * s for w, s in zip(words, short)]
-    long = [i for i, (w, s) in enumerate(zip(words, short)) if len(w) >= TYPO_WORD and not s]
-    cut = {i: _deletions(words[i]) for i in long}
-
-    def form(edits: dict[int, str]) -> str:
-        return "t:" + " ".join(sorted(edits.get(i, w) for i, w in enumerate(marked)))
-
-    out.append(form({}))
-    for i in long:
-        out += [form({i: d}) for d in cut[i]]
-    for k, i in enumerate(long):
-        for j in long[k + 1 :]:
-            out += [form({i: a, j: b}) for a in cut[i] for b in cut[j]]
-    # Words run together or apart.
-    out.append("j:" + "".join(marked))
+    out.append("j:" + "".join(w + "." * s for w, s in zip(words, short)))
     return list(dict.fromkeys(out))
 
 

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from crateflow.llm import name_forms as N
 from crateflow.llm.components import components
 from crateflow.llm.pairs import pairs_of_forms
+from crateflow.llm.word_slips import slips
 from crateflow.session import cut_lineage, spread
 
 #: Two words that so many keys share, the rarer one at least so often for each use of the other, are two words, not one misspelt.
 ESTABLISHED, LEAST_RATIO = 3, 0.1
-#: The least score of a link: 1 / (number of artists that offer the rewriting).
-LEAST_SCORE = 1.0
+#: An abbreviation is resolved if its rarity, 1 / (number of artists that offer it), is more than this: one artist is likelier than all others.
+LEAST_RARITY = 0.5
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -31,15 +32,27 @@ def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple[str, str, str]] = []
         for key in b["key"]:
             p = _from_key(key)
-            rows += [(key, "strong", f) for f in N.strong_forms(p)]
+            rows += [(key, "strong", f) for f in (*N.strong_forms(p), *N.slip_forms(key, {}))]
             offered, sought = N.weak_forms(p)
             rows += [(key, "offered", f) for f in offered] + [(key, "familiar" if offered else "sought", f) for f in sought]
-            if len(rows) > 50_000:
-                yield pd.DataFrame(rows, columns=["key", "kind", "form"])
-                rows = []
         yield pd.DataFrame(rows, columns=["key", "kind", "form"])
 
 
+def _slip_forms(keys: DataFrame) -> DataFrame:
+    """(key, kind, form): the forms of keys with words that may be slips of others. Words are held against the vocabulary of all keys, once."""
+    words = keys.select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("word")).where(~F.col("word").endswith(".") & (F.col("word") != "&"))
+    vocabulary = words.groupBy("word").agg(F.count("*").alias("uses"))
+    meant = cut_lineage(slips(vocabulary, ESTABLISHED, LEAST_RATIO, N.TYPO_WORD).groupBy("word").agg(F.sort_array(F.collect_set("meant")).alias("meant")))
+    open_ = words.join(meant, "word").groupBy("key").agg(F.collect_list(F.struct("word", "meant")).alias("open"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, "strong", f) for k, o in zip(b["key"], b["open"]) for f in N.slip_forms(k, {x["word"]: list(x["meant"]) for x in o})]
+            yield pd.DataFrame(rows, columns=["key", "kind", "form"])
+
+    return spread(open_, "key").mapInPandas(run, "key string, kind string, form string")
+
+
 def _from_key(key: str) -> N.Parsed:
     members = [m.split(" ") for m in key.split(" & ")]
     return N.Parsed(tuple(tuple(w.rstrip(".") for w in m) for m in members), tuple(tuple(w.endswith(".") for w in m) for m in members))
@@ -51,73 +64,88 @@ def name_keys(df: DataFrame, fields: list[str]) -> DataFrame:
     return spread(names, "name").mapInPandas(_parsed, "name string, key string")
 
 
-def name_entities(names: DataFrame) -> DataFrame:
-    """(name, key, entity): equal entity for spellings of one artist; the entity is one of its keys.
+def name_links(names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((a, b, slip, score), (key, kind, form)): the links between keys by strong rewritings, and all rewritings.
 
-    Names with one key (same but for encoding, case, accents, punctuation, article, connector, trailing number) are one.
-    Keys explode into their rewritings, which meet in equi-joins. Strong ones (word order, middle initial, run-together
-    words, a letter's slip in one word or two) link keys if the words that differ are an edit apart and not both words in use;
-    every two keys of a form are checked. A key that is a slip of two keys told apart by their words links to neither.
-    Weak ones (initials, abbreviated or familiar given names, a duo's family names) attach a key to the artist that offers
-    the rewriting if its rarity, 1 / (number of artists offering it), reaches ``LEAST_SCORE``. Ties therefore link nothing.
+    A link's score is the rarity of the rarest rewriting that both keys have: 1 where only the two have it, towards 0 where all
+    keys do (1 - ln(n - 1) / ln(keys)).
     """
-    keys = cut_lineage(names.select("key").distinct())
-    forms = cut_lineage(spread(keys, "key").mapInPandas(_forms, "key string, kind string, form string").withColumn("form", F.xxhash64("form")).distinct())
+    keys = names.select("key").distinct()
+    forms = spread(keys, "key").mapInPandas(_forms, "key string, kind string, form string").unionByName(_slip_forms(keys))
+    forms = cut_lineage(forms.withColumn("form", F.xxhash64("form")).distinct())
     words = keys.select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     frequent = words.where(F.col("n") >= ESTABLISHED)
+    n_keys = max(keys.count(), 2)
 
-    # Every pair of keys of a form, by their hashes, so that a key that the check refuses stands in no other's way.
-    strong = forms.where("kind = 'strong'").select("form", F.xxhash64("key").alias("id"))
-    ids = keys.select(F.xxhash64("key").alias("id"), "key")
-    met = pairs_of_forms(strong, "id")
-    met = met.join(ids.select(F.col("id").alias("a"), F.col("key").alias("ka")), "a").join(ids.select(F.col("id").alias("b"), F.col("key").alias("kb")), "b")
-    pairs = met.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
+    # Every pair of keys of a form, so that a key that the check refuses stands in no other's way.
+    met = pairs_of_forms(forms.where("kind = 'strong'").select("form", "key"), "key")
+    pairs = met.select("a", "b", (1 - F.log(F.col("n") - 1) / F.log(F.lit(float(n_keys)))).alias("score"))
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for x, y in zip(b["a"], b["b"]):
+            for x, y, score in zip(b["a"], b["b"], b["score"]):
                 d = _differences(x, y)
                 if d is not None:
-                    rows.append((x, y, d))
-            yield pd.DataFrame(rows, columns=["a", "b", "d"])
-
-    checked = cut_lineage(spread(pairs, "a", "b").mapInPandas(check, "a string, b string, d array<string>"))
-    slips = checked.where(F.size("d") > 0).select("a", "b", F.posexplode("d").alias("i", "word"))
-    known = slips.join(frequent, "word").groupBy("a", "b", F.floor(F.col("i") / 2).alias("slip")).agg(F.count("*").alias("k"), (F.min("n") / F.max("n")).alias("ratio"))
-    known = known.where((F.col("k") == 2) & (F.col("ratio") >= LEAST_RATIO)).select("a", "b").distinct()
-    known = cut_lineage(known)
-    links = _without_ties(cut_lineage(checked.join(known, ["a", "b"], "left_anti").select("a", "b", (F.size("d") > 0).alias("slip"))), known)
-    found = components(links)
+                    rows.append((x, y, score, d))
+            yield pd.DataFrame(rows, columns=["a", "b", "score", "d"])
+
+    checked = cut_lineage(spread(pairs, "a", "b").mapInPandas(check, "a string, b string, score double, d array<string>"))
+    slipped = checked.where(F.size("d") > 0).select("a", "b", F.posexplode("d").alias("i", "word"))
+    known = slipped.join(frequent, "word").groupBy("a", "b", F.floor(F.col("i") / 2).alias("slip")).agg(F.count("*").alias("k"), (F.min("n") / F.max("n")).alias("ratio"))
+    known = cut_lineage(known.where((F.col("k") == 2) & (F.col("ratio") >= LEAST_RATIO)).select("a", "b").distinct())
+    links = cut_lineage(checked.join(known, ["a", "b"], "left_anti").select("a", "b", (F.size("d") > 0).alias("slip"), "score"))
+    return cut_lineage(_without_ties(links, known)), forms
+
+
+def name_entities(names: DataFrame) -> DataFrame:
+    """(name, key, entity, score): equal entity for spellings of one artist; the entity is one of its keys.
+
+    Names with one key (same but for encoding, case, accents, punctuation, article, connector, trailing number) are one.
+    Keys explode into their rewritings, which meet in equi-joins. Strong ones (word order, middle initial, run-together
+    words, a word or two put right by the vocabulary) link keys if the words that differ are an edit apart and not both words in use;
+    every two keys of a form are checked. A key that is a slip of two keys told apart by their words links to neither.
+    Weak ones (initials, abbreviated or familiar given names, a duo's family names) attach a key to the artist that offers
+    the rewriting if its rarity, 1 / (number of artists offering it), exceeds ``LEAST_RARITY``. Ties therefore link nothing.
+    ``score`` is the greatest rarity by which the key was linked, 1 for a key that stands alone.
+    """
+    keys = cut_lineage(names.select("key").distinct())
+    links, forms = name_links(names)
+    found = components(links.select("a", "b"))
+    best = links.select(F.explode(F.array("a", "b")).alias("key"), "score")
     entity = cut_lineage(keys.join(found, F.col("key") == F.col("node"), "left").select("key", F.coalesce("component", "key").alias("entity")))
 
     # Familiar given names first, so that an initial finds one artist where it would find a name and its short form.
-    entity = cut_lineage(_attached(entity, forms, "familiar"))
-    final = _attached(entity, forms, "sought")
-    return names.join(final, "key").select("name", "key", "entity")
+    entity, familiar = _attached(entity, forms, "familiar")
+    entity = cut_lineage(entity)
+    final, sought = _attached(entity, forms, "sought")
+    best = best.unionByName(familiar).unionByName(sought).groupBy("key").agg(F.max("score").alias("score"))
+    return names.join(final.join(best, "key", "left"), "key").select("name", "key", "entity", F.coalesce("score", F.lit(1.0)).alias("score"))
 
 
 def _without_ties(links: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b): the links, less the slips of a key to two others that are known to be two artists: it may be a slip of either."""
+    """The links, less the slips of a key to two others that are known to be two artists: it may be a slip of either."""
     ends = links.where("slip").select(F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(links.where("slip").select(F.col("b").alias("mid"), F.col("a").alias("end")))
     torn = known.join(ends.select(F.col("end").alias("a"), "mid"), "a").join(ends.select(F.col("end").alias("b"), "mid"), ["b", "mid"])
     torn = torn.select("mid", F.explode(F.array("a", "b")).alias("end")).select(F.least("mid", "end").alias("a"), F.greatest("mid", "end").alias("b")).distinct()
-    return links.select("a", "b").join(torn, ["a", "b"], "left_anti")
+    return links.join(torn, ["a", "b"], "left_anti")
 
 
-def _attached(entity: DataFrame, forms: DataFrame, kind: str) -> DataFrame:
-    """(key, entity) after the artists that seek a rewriting have joined the one that offers it; an artist seeks through all of its
+def _attached(entity: DataFrame, forms: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """((key, entity), (key, score)) after the artists that seek a rewriting have joined the one that offers it; an artist seeks through all of its
     keys at once. Artists that seek the same abbreviation, which nobody offers, are one too."""
     offered = forms.where("kind = 'offered'").join(entity, "key").select("form", "entity").distinct().withColumnRenamed("entity", "target")
     sought = forms.where(F.col("kind") == kind).join(entity, "key").select("form", "entity").distinct()
     met = sought.join(offered, "form").where("entity <> target").groupBy("entity").agg(F.min("target").alias("b"), F.count_distinct("target").alias("_n"))
-    links = met.where(1 / F.col("_n") >= LEAST_SCORE).select(F.col("entity").alias("a"), "b")
+    links = met.select(F.col("entity").alias("a"), "b", (1 / F.col("_n")).alias("score")).where(F.col("score") > LEAST_RARITY)
     if kind == "sought":
         lonely = sought.join(offered.select("form").distinct(), "form", "left_anti")
-        first = lonely.groupBy("form").agg(F.min("entity").alias("b"))
-        links = links.unionByName(lonely.join(first, "form").where("entity <> b").select(F.col("entity").alias("a"), "b"))
-    whole = components(links.distinct())
-    return entity.join(whole, F.col("entity") == F.col("node"), "left").select("key", F.coalesce("component", "entity").alias("entity"))
+        first = lonely.groupBy("form").agg(F.min("entity").alias("b"), F.count("*").alias("_n"))
+        links = links.unionByName(lonely.join(first, "form").where("entity <> b").select(F.col("entity").alias("a"), "b", (1 / (F.col("_n") - 1)).alias("score")))
+    links = cut_lineage(links.groupBy("a", "b").agg(F.max("score").alias("score")))
+    whole = components(links.select("a", "b"))
+    scored = links.select(F.explode(F.array("a", "b")).alias("key"), "score")
+    return entity.join(whole, F.col("entity") == F.col("node"), "left").select("key", F.coalesce("component", "entity").alias("entity")), scored
 
 
 def _differences(a: str, b: str) -> list[str] | None:

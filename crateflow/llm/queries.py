@@ -13,21 +13,29 @@ from crateflow.sources.tables import table
 # --- 1: albums without a shared id ---------------------------------------------------------------------------------
 
 
-def p1_matches(spark: SparkSession, d: str) -> DataFrame:
-    """Every pair of library row and release that may be one album, with the confidence; a release counts under each main
-    credit and under all of them together."""
+def _p1_records(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Library rows, and releases under each main credit and under all of them together."""
     library = table(spark, d, "library")
     credits = table(spark, d, "release_artist").where("extra = 0 and artist_name is not null").select("release_id", "artist_name").distinct()
     together = credits.groupBy("release_id").agg(F.array_join(F.array_sort(F.collect_set("artist_name")), " & ").alias("artist_name"), F.count("*").alias("n")).where("n > 1").drop("n")
     titles = table(spark, d, "releases").select(F.col("id").alias("release_id"), "title")
     left = entity_match.records(library, "id", "artist", "title")
-    right = entity_match.records(credits.unionByName(together).join(titles, "release_id"), "release_id", "artist_name", "title")
-    found = entity_match.match_records(left, right)
-    return found.select(F.col("left_row").cast("int").alias("library_id"), F.col("right_row").cast("int").alias("release_id"), "confidence")
+    return left, entity_match.records(credits.unionByName(together).join(titles, "release_id"), "release_id", "artist_name", "title")
+
+
+def p1_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair of library row and release that was compared, with its posterior and whether they are one album."""
+    found = entity_match.match_records(*_p1_records(spark, d))
+    return found.select(F.col("left_row").cast("int").alias("library_id"), F.col("right_row").cast("int").alias("release_id"), "confidence", "linked")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return p1_matches(spark, d).where("confidence >= 0.5").select("library_id", "release_id")
+    return p1_matches(spark, d).where("linked").select("library_id", "release_id")
+
+
+def p1_albums(spark: SparkSession, d: str) -> DataFrame:
+    """The album of each library row (source 0) and release (source 1)."""
+    return entity_match.albums(*_p1_records(spark, d)).select(F.col("side").alias("source"), F.col("row").cast("int").alias("row_id"), "album")
 
 
 # --- 4: variant spellings -----------------------------------------------------------------------------------------
@@ -136,7 +144,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return prose.not_prose(p10_statistics(spark, d)).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p4_found, p4_entities, p5_found, p5_forms, p7_found, p7_top, p7_merged, p8_found, p8_leaks, p8_leaked_items, p9_mix, p9_shares, p9_shares_capped, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p1_albums, p4_found, p4_entities, p5_found, p5_forms, p7_found, p7_top, p7_merged, p8_found, p8_leaks, p8_leaked_items, p9_mix, p9_shares, p9_shares_capped, p10_found, p10_statistics)}
 ORACLE = {
     "p7_found": f"""WITH {_P7_SQL} SELECT master_id, id AS release_id FROM r a
       WHERE EXISTS (FROM r b WHERE b.master_id = a.master_id AND b.format IS NOT DISTINCT FROM a.format AND b.id <> a.id)
