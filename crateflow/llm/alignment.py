@@ -49,11 +49,13 @@ def matches(document: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndar
     return rows, order[np.repeat(lo, n) + within]
 
 
-def quoted_words(document: np.ndarray, item: np.ndarray, least_half: int = 6, enough: int = 15) -> tuple[int, int]:
+def quoted_words(document: np.ndarray, item: np.ndarray, least_half: int = 6, enough: int = 15, at: np.ndarray | None = None) -> tuple[int, int]:
     """Matched words of the best passage, and of the best second one that overlaps it neither in the document nor in the item
     and stands on the same side of it in both. The second is 0 if it has fewer than ``least_half`` words, or isn't needed as the
-    first has ``enough``."""
+    first has ``enough``. ``at``: where the words given of the document stand in it."""
     rows, columns = matches(document, item)
+    if at is not None:
+        rows = at[rows]
     one, (j0, j1), (i0, i1) = best_passage(rows, columns)
     if one == 0 or one >= enough:
         return one, 0

@@ -3,60 +3,168 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from crateflow.llm.alignment import quoted_words
 from crateflow.llm.words import words
-from crateflow.session import cut_lineage
-
-#: Rows of a test-side table that may be broadcast (16 bytes each); with more the join is shuffled.
-BROADCAST_ROWS = 500_000
-#: In every run of this many words of an item the rarest few are looked up in the index.
-RUN, RAREST = 5, 2
-#: A candidate has three looked-up words at nearly the same offset that lie ``SPAN`` words apart or more in the item (of 15 words in a
-#: row the first five and the last five each hold two), or at least two at each of two offsets and ``HALVES`` in all, three at
-#: one of them. Offsets may drift by half a bucket.
-SPAN, HALVES, DRIFT = 6, 6, 8
+from crateflow.session import cut_lineage, spread
+
+#: Of every run of so many words of an item the rarest in the corpus is looked up. A leak of 15 words with up to three breaks holds an
+#: unbroken run of four, and so do two halves with a break each: none is without a hit.
+RUN = 4
 #: Words of a leak; and of the smaller half, where it stands in two.
 LEAST_WORDS, LEAST_HALF = 15, 6
-#: Words of all items up to which they are sent to every task (8 bytes each); with more they travel with the pairs.
+#: Words of items that are held against the index at once (12 bytes each in every task); more items are taken in blocks, each against all documents.
 ITEM_WORDS = 2_000_000
-#: Pairs that one task aligns.
-ALIGN_ROWS = 20_000
+#: Words of documents that a task inverts at once, and hits that it intersects at once (about 100 bytes each).
+PART_WORDS, PART_HITS = 2_000_000, 1_000_000
 
 
-def term_ids(text: str) -> F.Column:
-    """The words of a text column as 64-bit hashes."""
-    return F.transform(words(text), lambda w: F.xxhash64(w))
+@dataclass(frozen=True)
+class Items:
+    """Test items as one array of term numbers (from 1; 0 separates items), with their seeds: the words to look up, sorted by term."""
 
+    ids: list
+    terms: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    seed_item: np.ndarray
+    seed_at: np.ndarray
+    seed_term: np.ndarray
 
-def postings(df: DataFrame, key: str, text: str) -> DataFrame:
-    """The positional index (term, key, pos): one row per word of each text, positions from 0. Null texts have none."""
-    return df.select(F.col(key), F.posexplode(term_ids(text)).alias("pos", "term"))
 
+def _word_rows(key: str, text: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({key: b[key].to_numpy(), "_words": [words(t) for t in b[text]]})
 
-def _fitting(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+    return run
 
 
-def rare_terms(index: DataFrame, items: DataFrame, run: int = RUN, rarest: int = RAREST) -> DataFrame:
-    """(item, ipos, term, df): of each ``run`` words in a row of an item the ``rarest`` in the corpus, ties by position.
+def inverted_index(docs: DataFrame, key: str, text: str, vocabulary: dict[str, int], least: int = LEAST_WORDS) -> DataFrame:
+    """(_doc, _terms): per document the number of the term at each position, 0 for words out of the vocabulary. Stored, so that texts are
+    read and folded once. Documents with fewer than ``least`` words of the vocabulary are left out. Within a stored partition
+    ``intersect`` inverts it to postings lists by term."""
+    kind = dict(docs.dtypes)[key]
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    ``items`` is a stored (item, ipos, term). Corpus counts cover all documents, combined before the shuffle.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            number = known.value.get
+            rows = [np.array([number(w, 0) for w in words(t)], dtype=np.int32) for t in b.column(1).to_pylist()]
+            kept = np.array([np.count_nonzero(r) >= least for r in rows], dtype=bool)
+            rows = [r for r, k in zip(rows, kept) if k]
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(kept)), lists], names=["_doc", "_terms"])
+
+    rows = docs.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).where(F.col("_doc").isNotNull() & F.col("_text").isNotNull())
+    return cut_lineage(rows.mapInArrow(run, f"_doc {kind}, _terms array<int>"))
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(documents, terms, starts and end) of slices of a batch of the index, each of about ``PART_WORDS`` words or of one document."""
+    lists = batch.column(1)
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    values = lists.values.to_numpy()
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PART_WORDS, "right")) - 1)
+        yield batch.column(0).slice(first, last - first).to_pylist(), values[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        first = last
+
+
+def term_counts(index: DataFrame, terms: int) -> np.ndarray:
+    """How often each term occurs in all documents, counted in each task before the counts are summed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(terms + 1, dtype=np.int64)
+        for b in batches:
+            for _, part, _ in _parts(b):
+                total += np.bincount(part, minlength=terms + 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["term", "n"])
+
+    rows = index.mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()  # at most a row a term of the items
+    out = np.zeros(terms + 1, dtype=np.int64)
+    for r in rows:
+        out[r["term"]] = r["n"]
+    return out
+
+
+def arrange(ids: list, sequences: list[np.ndarray], counts: np.ndarray, run: int = RUN) -> Items:
+    """The items with their seeds: the rarest word of each ``run`` words in a row, the first of equals."""
+    start, at, terms, owner, seeds = [], run, [np.zeros(run, dtype=np.int32)], [], []
+    for i, s in enumerate(sequences):
+        start.append(at)
+        terms += [s, np.zeros(run, dtype=np.int32)]
+        windows = np.lib.stride_tricks.sliding_window_view(counts[s], min(run, len(s)))
+        chosen = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+        owner.append(np.full(len(chosen), i))
+        seeds.append(at + chosen)
+        at += len(s) + run
+    flat = np.concatenate(terms)
+    seed_at, seed_item = np.concatenate(seeds), np.concatenate(owner)
+    order = np.argsort(flat[seed_at], kind="stable")
+    return Items(ids, flat, np.array(start), np.array([len(s) for s in sequences]), seed_item[order], seed_at[order], flat[seed_at][order])
+
+
+def intersect(terms: np.ndarray, starts: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document number, item number, offset): where ``RUN`` words in a row of an item stand in a document.
+
+    The documents' terms (``starts`` with the end) are inverted to postings lists; those of the seeds, rarest terms of the items, are
+    intersected with their neighbours' lists, shifted by the words between. offset: position in the document minus position in the item.
     """
-    vocabulary = items.select("term").distinct()
-    counts = index.join(_fitting(vocabulary, items.count()), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
-    counted = items.join(counts, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    length = items.groupBy("item").agg((F.max("ipos") + 1).alias("_n"))
-    first = F.greatest(F.lit(0), F.least(F.col("ipos") - (run - 1), F.col("_n") - run))
-    last = F.greatest(F.lit(0), F.least(F.col("ipos"), F.col("_n") - run))
-    runs = counted.join(length, "item").withColumn("_start", F.explode(F.sequence(first, last)))
-    order = Window.partitionBy("item", "_start").orderBy("df", "ipos")
-    return runs.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= rarest).select("item", "ipos", "term", "df").distinct()
+    n_docs, gap = len(starts) - 1, RUN
+    size = np.diff(starts)
+    owner = np.repeat(np.arange(n_docs), size)
+    padded = np.zeros(len(terms) + gap * (n_docs + 1), dtype=np.int32)
+    place = np.arange(len(terms)) + gap * (owner + 1)
+    padded[place] = terms
+    order = np.argsort(terms, kind="stable")
+    order = order[np.searchsorted(terms[order], 1) :]
+    lists = terms[order]
+    lo, hi = np.searchsorted(lists, items.seed_term, "left"), np.searchsorted(lists, items.seed_term, "right")
+    ends = np.cumsum(hi - lo)
+    found: list[np.ndarray] = []
+    first = 0
+    while first < len(lo):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PART_HITS, "right")))
+        n = (hi - lo)[first:last]
+        seed = np.repeat(np.arange(first, last), n)
+        at = order[np.arange(len(seed)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[first:last], n)]
+        here, there = place[at], items.seed_at[seed]
+        equal = {d: padded[here + d] == items.terms[there + d] for d in range(1 - gap, gap) if d}
+        row = np.zeros(len(seed), dtype=bool)
+        for left in range(gap):
+            row |= np.logical_and.reduce([equal[d] for d in range(-left, gap - left) if d])
+        seed, at = seed[row], at[row]
+        doc, item = owner[at], items.seed_item[seed]
+        found.append(np.stack([doc, item, (at - starts[doc]) - (items.seed_at[seed] - items.start[item])]))
+        first = last
+    every = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), dtype=np.int64)
+    return every[0], every[1], every[2]
+
+
+def _quoted(document: np.ndarray, item: np.ndarray, offsets: np.ndarray) -> tuple[int, int]:
+    """``quoted_words`` of a document and an item near the offsets at which phrases were found."""
+    slack = len(item) // 2 + 8
+    near = np.zeros(len(document) + 1, dtype=np.int32)
+    np.add.at(near, np.clip(offsets - slack, 0, len(document)), 1)
+    np.add.at(near, np.clip(offsets + len(item) + slack, 0, len(document)), -1)
+    at = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (document > 0))
+    at = at[np.isin(document[at], item)]
+    if min(len(at), np.isin(item, document[at]).sum()) < LEAST_WORDS:
+        return 0, 0
+    return quoted_words(document[at], item, LEAST_HALF, LEAST_WORDS, at)
 
 
 def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str, item_text: str) -> DataFrame:
@@ -64,62 +172,52 @@ def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str
 
     The words stand in one passage, or two of at least ``LEAST_HALF``; few single words may be changed, added or dropped (see
     ``alignment``). Both sides' texts may be null or empty (no match); repeated rows give one result; items of fewer than 15
-    words can't leak. The documents' words form a positional index. Of it the postings of the tests' rarest terms are stored,
-    lists are intersected by offset (position in the document minus position in the item) with constant state per
-    bucket, and the pairs that share enough terms at one offset are aligned exactly on their whole texts.
+    words can't leak. The documents' words form a stored positional index, partitioned by document. In each partition the
+    postings lists of the items' rarest terms are intersected by offset, which gives all places where four words in a row
+    agree; around those the passages are measured on the index. Neither postings nor texts are shuffled. Items beyond
+    ``ITEM_WORDS`` are taken in blocks.
     """
     kind, item_kind = dict(docs.dtypes)[key], dict(tests.dtypes)[item]
-    texts = docs.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).where(F.col(key).isNotNull() & F.col(text).isNotNull())
-    probes = tests.select(F.col(item).alias("item"), term_ids(item_text).alias("_words")).where(F.col("item").isNotNull() & (F.size("_words") >= LEAST_WORDS))
-    probes = cut_lineage(probes.dropDuplicates(["item"]))
-    terms = cut_lineage(probes.select("item", F.posexplode("_words").alias("ipos", "term")))
-    index = postings(texts, "_doc", "_text")
-    rare = cut_lineage(rare_terms(index, terms))
-    lookups = rare.select("term").distinct()
-    n = rare.count()
-    stored = cut_lineage(index.join(_fitting(lookups, n), "term", "left_semi"))
-    hits = stored.join(_fitting(rare.select("item", "ipos", "term"), n), "term")
-    # Two bucketings, half a bucket apart: offsets within half a bucket meet in one of them.
-    offset = F.col("pos") - F.col("ipos")
-    near = hits.select("item", "_doc", "ipos", F.explode(F.array(F.floor(offset / DRIFT) * 2, F.floor((offset + DRIFT // 2) / DRIFT) * 2 + 1)).alias("_bucket"))
-    mask = F.bit_or(F.expr("shiftleft(1L, ipos % 63)"))
-    buckets = near.groupBy("item", "_doc", "_bucket").agg(F.bit_count(mask).alias("n"), (F.max("ipos") - F.min("ipos")).alias("span")).where("n > 1")
-    sums = buckets.groupBy("item", "_doc", F.pmod("_bucket", F.lit(2)).alias("odd")).agg(
-        F.max((F.col("n") >= 3) & (F.col("span") >= SPAN)).alias("one"), F.sum("n").alias("all"), F.max("n").alias("most"), F.count("*").alias("places")
-    )
-    pairs = sums.where(F.col("one") | ((F.col("places") > 1) & (F.col("all") >= HALVES) & (F.col("most") > 2))).select("item", "_doc").distinct()
-    pairs = cut_lineage(pairs)
-    m = pairs.count()
-    wanted = texts.join(_fitting(pairs.select("_doc").distinct(), m), "_doc", "left_semi").select("_doc", term_ids("_text").alias("_seq"))
-    schema = f"item {item_kind}, _doc {kind}, matched int, second int"
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), m // ALIGN_ROWS)
-    if terms.count() <= ITEM_WORDS:
-        # Each document travels once, with the items to hold against it; the items' words are with every task.
-        kept = docs.sparkSession.sparkContext.broadcast({r["item"]: np.array(r["_words"]) for r in probes.join(pairs.select("item").distinct(), "item", "left_semi").collect()})
-        once = wanted.join(pairs.groupBy("_doc").agg(F.collect_list("item").alias("_items")), "_doc").repartition(parts)
-
-        def rows_of(b: pd.DataFrame) -> Iterator[tuple]:
-            for doc, seq, items in zip(b["_doc"], b["_seq"], b["_items"]):
-                for i in items:
-                    yield i, doc, np.asarray(seq), kept.value[i]
+    named = tests.select(F.col(item).alias("item"), F.col(item_text).alias("_text")).dropna().dropDuplicates(["item"])
+    probes = cut_lineage(spread(named).mapInPandas(_word_rows("item", "_text"), f"item {item_kind}, _words array<string>").where(F.size("_words") >= LEAST_WORDS))
+    total = probes.agg(F.sum(F.size("_words"))).first()[0] or 0
+    blocks = max(1, -(-total // ITEM_WORDS))
+    out = None
+    for i in range(blocks):
+        rows = probes.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == i).orderBy("item").collect()  # a block of about ITEM_WORDS words
+        found = _find(docs, key, text, kind, item_kind, [r["item"] for r in rows], [r["_words"] for r in rows])
+        out = found if out is None else out.unionByName(found)
+    best = out.groupBy("item", "_doc").agg(F.max(F.struct("matched", "second")).alias("_b"))
+    return best.select(F.col("item").alias(item), F.col("_doc").alias(key), "_b.matched", "_b.second")
 
-        both = once.select("_doc", "_seq", "_items")
-    else:
 
-        def rows_of(b: pd.DataFrame) -> Iterator[tuple]:
-            for i, doc, seq, own in zip(b["item"], b["_doc"], b["_seq"], b["_words"]):
-                yield i, doc, np.asarray(seq), np.asarray(own)
+def _find(docs: DataFrame, key: str, text: str, kind: str, item_kind: str, ids: list, texts: list[list[str]]) -> DataFrame:
+    spark = docs.sparkSession
+    schema = f"item {item_kind}, _doc {kind}, matched int, second int"
+    if not ids:
+        return spark.createDataFrame([], schema)
+    vocabulary: dict[str, int] = {}
+    sequences = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in t], dtype=np.int32) for t in texts]
+    index = inverted_index(docs, key, text, vocabulary)
+    items = spark.sparkContext.broadcast(arrange(ids, sequences, term_counts(index, len(vocabulary))))
 
-        both = wanted.join(pairs.join(probes, "item"), "_doc").repartition(parts).select("item", "_doc", "_seq", "_words")
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = items.value
         for b in batches:
-            found = [(i, doc, *quoted_words(seq, own, LEAST_HALF, LEAST_WORDS)) for i, doc, seq, own in rows_of(b)]
-            yield pd.DataFrame([f for f in found if leaked(f[2], f[3])], columns=["item", "_doc", "matched", "second"])
-
-    out = both.mapInPandas(align, schema)
-    best = out.groupBy("item", "_doc").agg(F.max(F.struct("matched", "second")).alias("_b"))
-    return best.select(F.col("item").alias(item), F.col("_doc").alias(key), "_b.matched", "_b.second")
+            rows = []
+            for names, terms, starts in _parts(b):
+                doc, item, offset = intersect(terms, starts, own)
+                heads = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]) if len(doc) else np.zeros(0, dtype=np.int64)
+                for h, e in zip(heads, [*heads[1:], len(doc)]):
+                    d, i = doc[h], item[h]
+                    matched, second = _quoted(terms[starts[d] : starts[d + 1]], own.terms[own.start[i] : own.start[i] + own.length[i]], offset[h:e])
+                    if leaked(matched, second):
+                        rows.append((own.ids[i], names[d], matched, second))
+            yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["item", "_doc", "matched", "second"]).astype({"matched": "int32", "second": "int32"}), schema=arrow)
+
+    return index.mapInArrow(run, schema)
 
 
 def leaked(matched: int, second: int) -> bool:

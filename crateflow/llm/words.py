@@ -1,30 +1,35 @@
-"""Words of a text, blind to case, markup, punctuation, spacing and encoding; all inside the JVM."""
+"""Words of a text, blind to case, markup, punctuation, spacing and encoding."""
 
 from __future__ import annotations
 
+import html
+import re
+import unicodedata
 from functools import cache
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import regex
 
-from crateflow.functions.fold import strip_accents
 from crateflow.llm.canonical_text import LOOK_ALIKES
 
-_INVISIBLE = "[\\u00AD\\u034F\\u061C\\u115F\\u1160\\u180E\\u200B-\\u200F\\u202A-\\u202E\\u2060-\\u206F\\uFE00-\\uFE0F\\uFEFF]+"
+_MARKUP = re.compile(r"<[/!]?[a-zA-Z][^<>]{0,300}>")
+_INVISIBLE = re.compile("[­͏؜ᅟᅠ᠎​-‏‪-‮⁠-⁯︀-️﻿]+")
+_MARKS = regex.compile(r"\p{M}+")
+_WORD = re.compile(r"[^\W_]+")
 
 
 @cache
-def _alike() -> tuple[str, str]:
-    pairs = [(p[0], p[-1]) for p in LOOK_ALIKES.split() if len(p) == 2 and p[-1].isalpha()]
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
-
-
-def words(text: Column | str) -> Column:
-    """The words of a text as array<string>: folded to base letters in lower case, split at all else. Null gives null, empty text none.
-
-    One chain in which each step reads its input once, so that no step is evaluated twice.
-    """
-    t = F.col(text) if isinstance(text, str) else text
-    plain = F.regexp_replace(t, r"<[/!]?[a-zA-Z][^<>]{0,300}>|&(?:[a-zA-Z]{2,8}|#[0-9]{1,6});", " ")
-    folded = F.lower(F.translate(strip_accents(F.regexp_replace(plain, _INVISIBLE, "")), *_alike()))
-    return F.split(F.trim(F.regexp_replace(folded, r"[^\p{L}\p{N}]+", " ")), " ")
+def _alike() -> dict[int, str]:
+    return {ord(p[0]): p[-1] for p in LOOK_ALIKES.split() if len(p) == 2 and p[-1].isalpha()}
+
+
+def words(text: str | None) -> list[str]:
+    """The words of a text, folded to base letters in lower case, split at all else. Null and empty text have none."""
+    if not text:
+        return []
+    if "<" in text:
+        text = _MARKUP.sub(" ", text)
+    if "&" in text:
+        text = html.unescape(text)
+    if not text.isascii():
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", _INVISIBLE.sub("", text))).translate(_alike())
+    return _WORD.findall(text.lower())
