@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,17 +78,21 @@ PROFILES = {
     "nl": (0.11, 0.12, 0.22, 0.34, 0.07, 0.01, 0.002, 0.045, 0.055, 0.008, 0.02),
     "sv": (0.07, 0.12, 0.23, 0.38, 0.06, 0.01, 0.002, 0.045, 0.055, 0.005, 0.023),
     "narrative": (0.11, 0.14, 0.09, 0.47, 0.08, 0.02, 0.002, 0.03, 0.035, 0.005, 0.018),
+    "neutral": (0.0, 0.0, 0.0, 0.77, 0.09, 0.01, 0.002, 0.055, 0.06, 0.005, 0.01),
     "list": (0.03, 0.04, 0.015, 0.06, 0.47, 0.07, 0.015, 0.06, 0.03, 0.14, 0.07),
     "list_plain": (0.03, 0.04, 0.015, 0.50, 0.05, 0.07, 0.015, 0.06, 0.02, 0.135, 0.07),
     "names": (0.02, 0.01, 0.02, 0.02, 0.70, 0.01, 0.01, 0.19, 0.01, 0.005, 0.005),
     "table": (0.015, 0.02, 0.01, 0.06, 0.34, 0.10, 0.015, 0.07, 0.01, 0.24, 0.12),
+    "terms": (0.0, 0.0, 0.0, 0.66, 0.06, 0.01, 0.005, 0.24, 0.01, 0.005, 0.01),
     "tags": (0.01, 0.01, 0.01, 0.42, 0.04, 0.02, 0.06, 0.01, 0.01, 0.02, 0.39),
     "junk": (0.005, 0.005, 0.01, 0.10, 0.03, 0.12, 0.52, 0.03, 0.03, 0.055, 0.10),
     "noise": (0.02, 0.005, 0.01, 0.35, 0.05, 0.05, 0.17, 0.08, 0.06, 0.06, 0.145),
     "word_salad": (0.01, 0.01, 0.01, 0.93, 0.01, 0.005, 0.015, 0.002, 0.003, 0.002, 0.003),
 }
 LANGUAGES = tuple(FUNCTION_WORDS)
-STRUCTURES = tuple(p for p in PROFILES if p not in FUNCTION_WORDS and p != "narrative")
+STRUCTURES = tuple(p for p in PROFILES if p not in FUNCTION_WORDS and p not in ("narrative", "neutral"))
+#: A text with at most this share of listed function words may be prose of a language without a list ("neutral"), judged by its character classes.
+UNLISTED = 0.25
 #: Words in a row, or in a line on average, from which text with few clause words may be narrative rather than titles.
 NARRATIVE_WORDS = 8
 
@@ -97,8 +102,12 @@ _NUMBER = re.compile(r"\d+(?:[.:,/\-]\d+)*")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _VOWELS = frozenset("aeiouyαεηιουωаеёиоуыэюяіїєæœøı")
 _RULES = frozenset("|;\t:–—-=+_•*·#>/\\~")
-_STOPS = frozenset(".!?…。！？")
-_ENDS = (".", "!", "?", "…", "。", '."', '!"', '?"', ".”", "!”", "?”", ".)", ".'", ".»")
+_STOPS = frozenset(".!?…。！？．।॥؟۔։።")
+_COMMAS = frozenset(",،、，;；·")
+_MARKS = regex.compile(r"\p{M}+")
+# Scripts written without spaces, two letters of which count as a word.
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
+_ENDS = (".", "!", "?", "…", "。", "！", "？", "।", "॥", "؟", "۔", "」", "։", '."', '!"', '?"', ".”", "!”", "?”", ".)", ".'", ".»")
 
 _ROLE: dict[str, dict[str, int]] = {lang: {w: role for role in (2, 1, 0) for w in groups[role].split()} for lang, groups in FUNCTION_WORDS.items()}
 _KNOWN = frozenset(w for roles in _ROLE.values() for w in roles)
@@ -106,7 +115,7 @@ _KNOWN = frozenset(w for roles in _ROLE.values() for w in roles)
 
 def _odd(part: str) -> bool:
     """A run of letters that isn't shaped like a word."""
-    if len(part) > 24:
+    if len(part) > 24 and part.lower() != part.upper():
         return True
     if not "a" <= unicodedata.normalize("NFD", part[0])[0].lower() <= "z":
         return False
@@ -119,9 +128,9 @@ def _odd(part: str) -> bool:
 class Vocabulary(dict):
     """Token -> row of ``table``: what it adds to each language's events and to the counts."""
 
-    WIDTH = len(LANGUAGES) * len(EVENTS) + len(LANGUAGES) + 7
+    WIDTH = len(LANGUAGES) * len(EVENTS) + len(LANGUAGES) + 6
     HITS = len(LANGUAGES) * len(EVENTS)
-    WORDS, LENGTH, KNOWN, UPPER, TITLE, PLAIN, FOREIGN = range(HITS + len(LANGUAGES), WIDTH)
+    WORDS, LENGTH, KNOWN, UPPER, TITLE, PLAIN = range(HITS + len(LANGUAGES), WIDTH)
 
     def __init__(self):
         super().__init__()
@@ -143,9 +152,9 @@ class Vocabulary(dict):
         if not token[0].isalnum():
             shape = [c for c in token if c in _RULES]
             per[:, EVENTS.index("rule")] = min(2, len(shape)) if "\t" not in token else 1
-            per[:, EVENTS.index("comma")] = min(1, sum(c in ",،、" for c in token))
+            per[:, EVENTS.index("comma")] = min(1, sum(c in _COMMAS for c in token))
             per[:, EVENTS.index("stop")] = min(1, sum(c in _STOPS for c in token))
-            per[:, EVENTS.index("symbol")] = min(3, sum(c not in _RULES and c not in _STOPS and c not in ",،、" for c in token))
+            per[:, EVENTS.index("symbol")] = min(3, sum(c not in _RULES and c not in _STOPS and c not in _COMMAS for c in token))
             return out
         if _NUMBER.fullmatch(token):
             per[:, EVENTS.index("number")] = 1
@@ -158,6 +167,7 @@ class Vocabulary(dict):
             return out
         upper = token.upper() == token and token.lower() != token and len(token) > 1
         title = not upper and token[0].isupper()
+        weight = max(1, round(sum(map(len, parts)) / 2)) if _UNSPACED.match(parts[0]) else 1
         shape = EVENTS.index("title" if upper or title else "plain")
         for i, lang in enumerate(LANGUAGES):
             roles = [_ROLE[lang][x] for x in pieces if x in _ROLE[lang]]
@@ -165,12 +175,11 @@ class Vocabulary(dict):
                 per[i, r] += 1
             out[self.HITS + i] = len(roles)
             if len(roles) < len(pieces):
-                per[i, shape] += 1
-        out[self.WORDS], out[self.LENGTH] = 1, sum(map(len, parts))
+                per[i, shape] += weight
+        out[self.WORDS], out[self.LENGTH] = weight, sum(map(len, parts))
         known = any(x in _KNOWN for x in pieces)
         out[self.KNOWN], out[self.UPPER] = known, upper
-        out[self.TITLE], out[self.PLAIN] = title and not known, not (title or upper or known)
-        out[self.FOREIGN] = not "a" <= unicodedata.normalize("NFD", parts[0][0])[0].lower() <= "z"
+        out[self.TITLE], out[self.PLAIN] = title and not known, weight * (not (title or upper or known))
         return out
 
 
@@ -221,6 +230,18 @@ def _judge(counts: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarra
     prose = np.where(allowed, far, 9).min(axis=1)
     other = np.where(_PROSE, 9, far)
     nearest = np.where(prose <= other.min(axis=1), np.where(known > 0, lang, _NAMES.index("narrative")), other.argmin(axis=1))
+    # Languages without a list: sentences, by the character classes alone.
+    plain = events.copy()
+    plain[:, 3] += plain[:, :3].sum(axis=1)
+    plain[:, :3] = 0
+    sentences = (known <= UNLISTED * words) & (words >= NARRATIVE_WORDS) & (plain[:, EVENTS.index("stop")] > 0) & (_PROSE[nearest] == False)  # noqa: E712
+    if sentences.any():
+        p = plain[sentences] / np.maximum(plain[sentences].sum(axis=1, keepdims=True), 1)
+        near = np.where(flat[sentences][:, None], jensen_shannon(p, _table(True)), jensen_shannon(p, _table(False)))
+        own = near[:, _NAMES.index("neutral")]
+        is_prose = own < np.where(_PROSE, 9, near).min(axis=1)
+        at = np.flatnonzero(sentences)[is_prose]
+        nearest[at], prose[at] = _NAMES.index("neutral"), own[is_prose]
     return nearest, prose, other.min(axis=1)
 
 
@@ -244,6 +265,8 @@ def analyse(texts: list[str | None], vocabulary: Vocabulary | None = None) -> pd
             continue
         if "<" in text or "&" in text:  # markup isn't content; block ends are line ends
             text = html.unescape(_MARKUP.sub("\n", text))
+        if not text.isascii():  # accents are part of their letter, vowel signs and joiners of their word
+            text = _MARKS.sub("", unicodedata.normalize("NFC", text)).replace("\u200c", "").replace("\u200d", "")
         digits[i] = sum(map(text.count, "0123456789"))
         open_ = False
         for line in text.splitlines():
@@ -283,9 +306,6 @@ def analyse(texts: list[str | None], vocabulary: Vocabulary | None = None) -> pd
     group, _, _ = _judge(around, lines)
     words = counts[:, Vocabulary.WORDS]
     prose = _PROSE[alone] & (words >= 4) | _PROSE[group] & (near_prose < near_other + 0.12)
-    # Scripts without listed function words: letters and sentence ends, hardly any rules, digits or fragments.
-    every = counts[:, : len(EVENTS)]
-    foreign = (counts[:, Vocabulary.FOREIGN] > 0.5 * words) & (every[:, 5:7].sum(axis=1) + every[:, 9] < 0.1 * np.maximum(every.sum(axis=1), 1)) & (np.array(ended) | (words >= NARRATIVE_WORDS))
     total = np.zeros((n, Vocabulary.WIDTH))
     np.add.at(total, own, counts)
     by = lambda x: np.bincount(own, weights=x, minlength=n)
@@ -301,7 +321,7 @@ def analyse(texts: list[str | None], vocabulary: Vocabulary | None = None) -> pd
     profile, divergence, _ = _judge(total, np.maximum(n_lines, 1))
     out["profile"] = np.where(n_lines > 0, np.array(_NAMES, dtype=object)[profile], "empty")
     out["divergence"] = np.where(n_lines > 0, divergence, 1.0)
-    out["prose_share"] = by(size * (prose | foreign)) / np.maximum(visible, 1)
+    out["prose_share"] = by(size * prose) / np.maximum(visible, 1)
     return out
 
 
