@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crateflow.session import spread
+from crateflow.session import cut_lineage, spread
 
 # Letters of other scripts that have the shape of a Latin letter, and that letter.
 LOOK_ALIKES = (
@@ -26,10 +26,23 @@ LOOK_ALIKES = (
 _PREPENDED = frozenset(map(chr, [*range(0x600, 0x606), 0x6DD, 0x70F, 0x890, 0x891, 0x8E2, 0x110BD, 0x110CD]))
 _FILLERS = frozenset("͏ᅟᅠㅤﾠ")
 _DIGRAPH_START = 0x132
+#: Zero-width joiner and non-joiner change what is seen between letters of these scripts and between pictures, and nothing elsewhere.
+_JOINERS = regex.compile("[\u200c\u200d]+")
+_SHAPED = regex.compile(
+    r"[\p{Arabic}\p{Syriac}\p{Nko}\p{Mongolian}\p{Devanagari}\p{Bengali}\p{Gurmukhi}\p{Gujarati}\p{Oriya}\p{Tamil}\p{Telugu}\p{Kannada}\p{Malayalam}\p{Sinhala}\p{Khmer}\p{Myanmar}\p{Extended_Pictographic}\p{Emoji_Modifier}]"
+)
 #: Where characters stand that a rule can touch; the rest (ideographs, syllables, private use, unassigned) keeps its code.
 _BLOCKS = (range(0x3300), range(0xA640, 0xAC00), range(0xF900, 0x10000), range(0x1D400, 0x1D800), range(0x2F800, 0x2FA20), range(0xE0000, 0xE0200))
 
 
+def _joined(m: regex.Match) -> str:
+    """What is left of a run of joiners: one between two characters that it may tie or part, else none."""
+    text, (i, j) = m.string, m.span()
+    while i and unicodedata.combining(text[i - 1]):
+        i -= 1
+    return m[0][0] if i and j < len(text) and _SHAPED.match(text[i - 1]) and _SHAPED.match(text[j]) else ""
+
+
 def _invisible(c: str) -> bool:
     kind = unicodedata.category(c)
     selector = 0xFE00 <= ord(c) <= 0xFE0F or 0xE0100 <= ord(c) <= 0xE01EF
@@ -38,6 +51,8 @@ def _invisible(c: str) -> bool:
 
 def _rule_targets(c: str) -> Iterator[str]:
     """Every target that a rule gives to the character; more than one different is a conflict."""
+    if c in "\u200c\u200d":
+        return
     if _invisible(c):
         yield ""
         return
@@ -106,7 +121,7 @@ class Transducer:
         self.clusters = regex.compile(r"\X").findall
 
     def _cluster(self, cluster: str) -> str:
-        visible = "".join(c for c in cluster if not _invisible(c))
+        visible = "".join(c for c in cluster if c in "\u200c\u200d" or not _invisible(c))
         source = unicodedata.normalize("NFD", visible)
         out, i = [], 0
         while i < len(source):
@@ -125,7 +140,10 @@ class Transducer:
         if text.isascii() and text.isprintable():
             return text.strip()
         # An invisible character may stand between a base and its mark, so it goes before clusters are formed.
-        return "".join(map(self.cluster, self.clusters("".join([c for c in text if c.isprintable() or not _invisible(c)])))).strip()
+        seen = "".join([c for c in text if c.isprintable() or c in "\u200c\u200d" or not _invisible(c)])
+        if "\u200c" in seen or "\u200d" in seen:
+            seen = _JOINERS.sub(_joined, unicodedata.normalize("NFC", seen))
+        return "".join(map(self.cluster, self.clusters(seen))).strip()
 
 
 @cache
@@ -144,7 +162,7 @@ def canonical(text: Column | str) -> Column:
     """The canonical form of a text column; null stays null, empty and all-invisible text becomes empty.
 
     Width forms, styled letters, ligatures, combining accents, space variants and letters of look-alike shape take one
-    form; invisible characters and outer space go. Case, accents, punctuation and spelling stay.
+    form; invisible characters and outer space go, but for joiners between letters that they shape. Case, accents, punctuation and spelling stay.
     """
     return _canonical(text)
 
@@ -158,7 +176,8 @@ def canonical_forms(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def same_reading_pairs(forms: DataFrame) -> DataFrame:
-    """(field_name, text_a, text_b), text_a < text_b by code point: values of one field with one canonical form."""
+    """(field_name, text_a, text_b), text_a < text_b by code point: values of one field with one canonical form. The forms are stored once."""
+    forms = cut_lineage(forms)
     several = forms.groupBy("field_name", "canonical").agg(F.count("*").alias("_n")).where("_n > 1").select("field_name", "canonical")
     kept = forms.join(several, ["field_name", "canonical"], "left_semi")
     a = kept.withColumnRenamed("text", "text_a")
