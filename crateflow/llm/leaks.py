@@ -20,6 +20,9 @@ from crateflow.session import cut_lineage, spread
 #: Of every run of so many words of an item the rarest in the corpus is looked up. A leak of 15 words with up to three breaks holds an
 #: unbroken run of four, and so do two halves with a break each: none is without a hit.
 RUN = 4
+#: Around such a run, ``NEAR`` of ``SPAN`` words in a row stand in the document within ``DRIFT`` words of where the run puts them: the larger
+#: half of a leak has eight.
+NEAR, SPAN, DRIFT = 7, 12, 3
 #: Words of a leak; and of the smaller half, where it stands in two.
 LEAST_WORDS, LEAST_HALF = 15, 6
 #: Words of items that are held against the index at once (12 bytes each in every task); more items are taken in blocks, each against all documents.
@@ -154,17 +157,42 @@ def intersect(terms: np.ndarray, starts: np.ndarray, items: Items) -> tuple[np.n
     return every[0], every[1], every[2]
 
 
+def proximity(terms: np.ndarray, starts: np.ndarray, items: Items, doc: np.ndarray, item: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """The most words of ``SPAN`` in a row of the item that stand within ``DRIFT`` words of their place in the document, at each offset."""
+    out = np.zeros(len(doc), dtype=np.int64)
+    if not len(doc):
+        return out
+    width = int(items.length.max())
+    step = max(1, PART_HITS // width)
+    column = np.arange(width)
+    for first in range(0, len(doc), step):
+        d, i, o = (x[first : first + step] for x in (doc, item, offset))
+        own = items.terms[np.minimum(items.start[i][:, None] + column, len(items.terms) - 1)]
+        inside = column < items.length[i][:, None]
+        met = np.zeros(own.shape, dtype=bool)
+        for shift in range(-DRIFT, DRIFT + 1):
+            place = o[:, None] + column + shift
+            held = inside & (place >= 0) & (place < np.diff(starts)[d][:, None])
+            met |= held & (terms[np.clip(starts[d][:, None] + place, 0, len(terms) - 1)] == own)
+        total = np.concatenate([np.zeros((len(met), 1), dtype=np.int64), np.cumsum(met, axis=1)], axis=1)
+        span = min(SPAN, width)
+        out[first : first + step] = (total[:, span:] - total[:, :-span]).max(axis=1)
+    return out
+
+
 def _quoted(document: np.ndarray, item: np.ndarray, offsets: np.ndarray) -> tuple[int, int]:
-    """``quoted_words`` of a document and an item near the offsets at which phrases were found."""
+    """``quoted_words`` of a document and an item near the offsets at which phrases were found; in the whole document if one passage there
+    lacks a second."""
     slack = len(item) // 2 + 8
     near = np.zeros(len(document) + 1, dtype=np.int32)
     np.add.at(near, np.clip(offsets - slack, 0, len(document)), 1)
     np.add.at(near, np.clip(offsets + len(item) + slack, 0, len(document)), -1)
     at = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (document > 0))
-    at = at[np.isin(document[at], item)]
-    if min(len(at), np.isin(item, document[at]).sum()) < LEAST_WORDS:
-        return 0, 0
-    return quoted_words(document[at], item, LEAST_HALF, LEAST_WORDS, at)
+    matched, second = quoted_words(document[at], item, LEAST_HALF, LEAST_WORDS, at)
+    if 2 * matched >= LEAST_WORDS and not leaked(matched, second):
+        at = np.flatnonzero(document > 0)
+        return quoted_words(document[at], item, LEAST_HALF, LEAST_WORDS, at)
+    return matched, second
 
 
 def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str, item_text: str) -> DataFrame:
@@ -174,7 +202,7 @@ def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str
     ``alignment``). Both sides' texts may be null or empty (no match); repeated rows give one result; items of fewer than 15
     words can't leak. The documents' words form a stored positional index, partitioned by document. In each partition the
     postings lists of the items' rarest terms are intersected by offset, which gives all places where four words in a row
-    agree; around those the passages are measured on the index. Neither postings nor texts are shuffled. Items beyond
+    agree, then proximity around them; what is left is measured on the index. Neither postings nor texts are shuffled. Items beyond
     ``ITEM_WORDS`` are taken in blocks.
     """
     kind, item_kind = dict(docs.dtypes)[key], dict(tests.dtypes)[item]
@@ -209,9 +237,12 @@ def _find(docs: DataFrame, key: str, text: str, kind: str, item_kind: str, ids:
             rows = []
             for names, terms, starts in _parts(b):
                 doc, item, offset = intersect(terms, starts, own)
+                close = proximity(terms, starts, own, doc, item, offset) >= NEAR
                 heads = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]) if len(doc) else np.zeros(0, dtype=np.int64)
                 for h, e in zip(heads, [*heads[1:], len(doc)]):
                     d, i = doc[h], item[h]
+                    if not close[h:e].any():
+                        continue
                     matched, second = _quoted(terms[starts[d] : starts[d + 1]], own.terms[own.start[i] : own.start[i] + own.length[i]], offset[h:e])
                     if leaked(matched, second):
                         rows.append((own.ids[i], names[d], matched, second))

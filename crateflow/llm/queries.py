@@ -41,10 +41,18 @@ def p1_albums(spark: SparkSession, d: str) -> DataFrame:
 # --- 4: variant spellings -----------------------------------------------------------------------------------------
 
 
-def p4_entities(spark: SparkSession, d: str) -> DataFrame:
+def _p4_names(spark: SparkSession, d: str) -> DataFrame:
     names = name_variants.name_keys(table(spark, d, "release_artist"), ["artist_name", "anv"])
-    names = names.unionByName(name_variants.name_keys(table(spark, d, "library"), ["alternate_artist_name"])).distinct()
-    return name_variants.name_entities(names)
+    return names.unionByName(name_variants.name_keys(table(spark, d, "library"), ["alternate_artist_name"])).distinct()
+
+
+def p4_entities(spark: SparkSession, d: str) -> DataFrame:
+    return name_variants.name_entities(_p4_names(spark, d))
+
+
+def p4_links(spark: SparkSession, d: str) -> DataFrame:
+    """The links between name keys by strong rewritings, with the rarity of the rarest one they share."""
+    return name_variants.name_links(_p4_names(spark, d))[0].select("a", "b", "score")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -144,7 +152,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return prose.not_prose(p10_statistics(spark, d)).select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p1_albums, p4_found, p4_entities, p5_found, p5_forms, p7_found, p7_top, p7_merged, p8_found, p8_leaks, p8_leaked_items, p9_mix, p9_shares, p9_shares_capped, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p1_albums, p4_found, p4_entities, p4_links, p5_found, p5_forms, p7_found, p7_top, p7_merged, p8_found, p8_leaks, p8_leaked_items, p9_mix, p9_shares, p9_shares_capped, p10_found, p10_statistics)}
 ORACLE = {
     "p7_found": f"""WITH {_P7_SQL} SELECT master_id, id AS release_id FROM r a
       WHERE EXISTS (FROM r b WHERE b.master_id = a.master_id AND b.format IS NOT DISTINCT FROM a.format AND b.id <> a.id)
