@@ -33,7 +33,7 @@ PART_WORDS, PART_HITS = 2_000_000, 1_000_000
 
 @dataclass(frozen=True)
 class Items:
-    """Test items as one array of term numbers (from 1; 0 separates items), with their seeds: the words to look up, sorted by term."""
+    """Test items as one array of term numbers (from 1; -1 separates items), with their seeds: the words to look up, sorted by term."""
 
     ids: list
     terms: np.ndarray
@@ -105,10 +105,11 @@ def term_counts(index: DataFrame, terms: int) -> np.ndarray:
 
 def arrange(ids: list, sequences: list[np.ndarray], counts: np.ndarray, run: int = RUN) -> Items:
     """The items with their seeds: the rarest word of each ``run`` words in a row, the first of equals."""
-    start, at, terms, owner, seeds = [], run, [np.zeros(run, dtype=np.int32)], [], []
+    apart = np.full(run, -1, dtype=np.int32)
+    start, at, terms, owner, seeds = [], run, [apart], [], []
     for i, s in enumerate(sequences):
         start.append(at)
-        terms += [s, np.zeros(run, dtype=np.int32)]
+        terms += [s, apart]
         windows = np.lib.stride_tricks.sliding_window_view(counts[s], min(run, len(s)))
         chosen = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
         owner.append(np.full(len(chosen), i))

@@ -81,21 +81,30 @@ def name_links(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = pairs_of_forms(forms.where("kind = 'strong'").select("form", "key"), "key")
     pairs = met.select("a", "b", (1 - F.log(F.col("n") - 1) / F.log(F.lit(float(n_keys)))).alias("score"))
 
+    checked = cut_lineage(_checked(pairs))
+    known = cut_lineage(_two_words(checked, frequent))
+    links = cut_lineage(checked.join(known, ["a", "b"], "left_anti"))
+    return cut_lineage(_without_ties(links, words, frequent).select("a", "b", (F.size("d") > 0).alias("slip"), "score")), forms
+
+
+def _checked(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) of keys that are the same but for order, or but for an edit in a word or two, with d: those words, in pairs."""
+    names = pairs.columns
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for x, y, score in zip(b["a"], b["b"], b["score"]):
-                d = _differences(x, y)
-                if d is not None:
-                    rows.append((x, y, score, d))
-            yield pd.DataFrame(rows, columns=["a", "b", "score", "d"])
-
-    checked = cut_lineage(spread(pairs, "a", "b").mapInPandas(check, "a string, b string, score double, d array<string>"))
+            d = [_differences(x, y) for x, y in zip(b["a"], b["b"])]
+            keep = [x is not None for x in d]
+            yield b.assign(d=d)[keep]
+
+    return spread(pairs, "a", "b").mapInPandas(check, ", ".join(f"{c} {t}" for c, t in pairs.dtypes) + ", d array<string>").select(*names, "d")
+
+
+def _two_words(checked: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(a, b) of the checked pairs in which a word and its counterpart are both in use."""
     slipped = checked.where(F.size("d") > 0).select("a", "b", F.posexplode("d").alias("i", "word"))
     known = slipped.join(frequent, "word").groupBy("a", "b", F.floor(F.col("i") / 2).alias("slip")).agg(F.count("*").alias("k"), (F.min("n") / F.max("n")).alias("ratio"))
-    known = cut_lineage(known.where((F.col("k") == 2) & (F.col("ratio") >= LEAST_RATIO)).select("a", "b").distinct())
-    links = cut_lineage(checked.join(known, ["a", "b"], "left_anti").select("a", "b", (F.size("d") > 0).alias("slip"), "score"))
-    return cut_lineage(_without_ties(links, known)), forms
+    return known.where((F.col("k") == 2) & (F.col("ratio") >= LEAST_RATIO)).select("a", "b").distinct()
 
 
 def name_entities(names: DataFrame) -> DataFrame:
@@ -123,11 +132,17 @@ def name_entities(names: DataFrame) -> DataFrame:
     return names.join(final.join(best, "key", "left"), "key").select("name", "key", "entity", F.coalesce("score", F.lit(1.0)).alias("score"))
 
 
-def _without_ties(links: DataFrame, known: DataFrame) -> DataFrame:
-    """The links, less the slips of a key to two others that are known to be two artists: it may be a slip of either."""
-    ends = links.where("slip").select(F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(links.where("slip").select(F.col("b").alias("mid"), F.col("a").alias("end")))
-    torn = known.join(ends.select(F.col("end").alias("a"), "mid"), "a").join(ends.select(F.col("end").alias("b"), "mid"), ["b", "mid"])
-    torn = torn.select("mid", F.explode(F.array("a", "b")).alias("end")).select(F.least("mid", "end").alias("a"), F.greatest("mid", "end").alias("b")).distinct()
+def _without_ties(links: DataFrame, words: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The links (a, b, d), less those of a key that is a slip of two keys which are two artists by their words: it may be a slip of either."""
+    slipped = links.where(F.size("d") > 0).select("a", "b", F.posexplode("d").alias("i", "word")).join(words, "word")
+    own = lambda side: F.max(F.when(F.col("i") % 2 == side, F.col("n")))
+    per = slipped.groupBy("a", "b", F.floor(F.col("i") / 2).alias("slip")).agg(own(0).alias("na"), own(1).alias("nb"))
+    way = per.groupBy("a", "b").agg(F.bool_and(F.col("na") < F.col("nb")).alias("up"), F.bool_and(F.col("na") > F.col("nb")).alias("down"))
+    ends = way.where("up").select(F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(way.where("down").select(F.col("b").alias("mid"), F.col("a").alias("end")))
+    ends = cut_lineage(ends)
+    two = ends.select("mid", F.col("end").alias("a")).join(ends.select("mid", F.col("end").alias("b")), "mid").where("a < b")
+    apart = _two_words(_checked(two.select("a", "b").distinct()), frequent)
+    torn = two.join(apart, ["a", "b"]).select("mid", F.explode(F.array("a", "b")).alias("end")).select(F.least("mid", "end").alias("a"), F.greatest("mid", "end").alias("b")).distinct()
     return links.join(torn, ["a", "b"], "left_anti")
 
 

@@ -79,19 +79,20 @@ PROFILES = {
     "sv": (0.07, 0.12, 0.23, 0.38, 0.06, 0.01, 0.002, 0.045, 0.055, 0.005, 0.023),
     "narrative": (0.11, 0.14, 0.09, 0.47, 0.08, 0.02, 0.002, 0.03, 0.035, 0.005, 0.018),
     "neutral": (0.0, 0.0, 0.0, 0.77, 0.09, 0.01, 0.002, 0.055, 0.06, 0.005, 0.01),
+    "clauses": (0.0, 0.0, 0.0, 0.69, 0.08, 0.005, 0.002, 0.15, 0.065, 0.003, 0.005),
     "list": (0.03, 0.04, 0.015, 0.06, 0.47, 0.07, 0.015, 0.06, 0.03, 0.14, 0.07),
     "list_plain": (0.03, 0.04, 0.015, 0.50, 0.05, 0.07, 0.015, 0.06, 0.02, 0.135, 0.07),
     "names": (0.02, 0.01, 0.02, 0.02, 0.70, 0.01, 0.01, 0.19, 0.01, 0.005, 0.005),
     "table": (0.015, 0.02, 0.01, 0.06, 0.34, 0.10, 0.015, 0.07, 0.01, 0.24, 0.12),
-    "terms": (0.0, 0.0, 0.0, 0.66, 0.06, 0.01, 0.005, 0.24, 0.01, 0.005, 0.01),
+    "terms": (0.0, 0.0, 0.0, 0.60, 0.06, 0.01, 0.005, 0.30, 0.01, 0.005, 0.01),
     "tags": (0.01, 0.01, 0.01, 0.42, 0.04, 0.02, 0.06, 0.01, 0.01, 0.02, 0.39),
     "junk": (0.005, 0.005, 0.01, 0.10, 0.03, 0.12, 0.52, 0.03, 0.03, 0.055, 0.10),
     "noise": (0.02, 0.005, 0.01, 0.35, 0.05, 0.05, 0.17, 0.08, 0.06, 0.06, 0.145),
     "word_salad": (0.01, 0.01, 0.01, 0.93, 0.01, 0.005, 0.015, 0.002, 0.003, 0.002, 0.003),
 }
 LANGUAGES = tuple(FUNCTION_WORDS)
-STRUCTURES = tuple(p for p in PROFILES if p not in FUNCTION_WORDS and p not in ("narrative", "neutral"))
-#: A text with at most this share of listed function words may be prose of a language without a list ("neutral"), judged by its character classes.
+STRUCTURES = tuple(p for p in PROFILES if p not in FUNCTION_WORDS and p not in ("narrative", "neutral", "clauses"))
+#: A text with at most this share of listed function words may be prose of a language without a list ("neutral", or "clauses" where commas part them), judged by its character classes.
 UNLISTED = 0.25
 #: Words in a row, or in a line on average, from which text with few clause words may be narrative rather than titles.
 NARRATIVE_WORDS = 8
@@ -238,10 +239,11 @@ def _judge(counts: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if sentences.any():
         p = plain[sentences] / np.maximum(plain[sentences].sum(axis=1, keepdims=True), 1)
         near = np.where(flat[sentences][:, None], jensen_shannon(p, _table(True)), jensen_shannon(p, _table(False)))
-        own = near[:, _NAMES.index("neutral")]
+        both = near[:, [_NAMES.index("neutral"), _NAMES.index("clauses")]]
+        own = both.min(axis=1)
         is_prose = own < np.where(_PROSE, 9, near).min(axis=1)
         at = np.flatnonzero(sentences)[is_prose]
-        nearest[at], prose[at] = _NAMES.index("neutral"), own[is_prose]
+        nearest[at], prose[at] = _NAMES.index("neutral") + both.argmin(axis=1)[is_prose], own[is_prose]
     return nearest, prose, other.min(axis=1)
 
 
