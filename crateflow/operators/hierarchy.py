@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from crateflow.functions.chains import contract
 from crateflow.session import cut_lineage
 
-#: Links that one task contracts in memory: about 200 bytes each.
-FRAGMENT_ROWS = 1_000_000
+#: Links that one task contracts in memory, at most (about 200 bytes each) and at least; between them all shuffle partitions get a fragment.
+FRAGMENT_ROWS, LEAST_FRAGMENT = 1_000_000, 2_000
 _LINK = "node bigint, parent bigint, hops bigint, low bigint"
 _HOP = "node bigint, exit bigint, hops bigint, low bigint, circle boolean"
 
@@ -100,20 +100,26 @@ def _expand(hop: DataFrame, done: DataFrame) -> DataFrame:
     )
 
 
+def fragment_size(df: DataFrame, n: int) -> int:
+    """Links a fragment for so many links in all."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_FRAGMENT, min(FRAGMENT_ROWS, -(-n // parts)))
+
+
 def parent_links(df: DataFrame, child: str, parent: str) -> DataFrame:
     """Distinct (node, parent) links. Of several parents the least counts; rows without child or parent give no link."""
     rows = df.where(F.col(child).isNotNull() & F.col(parent).isNotNull())
     return rows.groupBy(F.col(child).cast("bigint").alias("node")).agg(F.min(F.col(parent).cast("bigint")).alias("parent"))
 
 
-def roots(df: DataFrame, child: str, parent: str, fragment_rows: int = FRAGMENT_ROWS) -> DataFrame:
+def roots(df: DataFrame, child: str, parent: str, fragment_rows: int | None = None) -> DataFrame:
     """One row (node, root, depth) for each id in either column.
 
     A node without a parent is its own root at depth 0. A chain of parents that never ends gives depth -1 and as root
     the least id of the circle it runs into. Ids are integers. Null ids, repeated rows and extra columns are
     ignored; an id with several parents takes the least one; an empty table gives no rows.
 
-    Links are hashed into fragments of about ``fragment_rows``; each fragment's chains are contracted to
+    Links are hashed into fragments of about ``fragment_rows`` (by default as many as there are shuffle partitions, of bounded size); each fragment's chains are contracted to
     their exits in one Arrow pass, the quotient forest of entry nodes is solved the same way, and its answers are
     joined back. Where hashing hardly shortens the chains, a random independent set is spliced out, so each level takes
     at least about a fifth away whatever the shape.
@@ -121,14 +127,14 @@ def roots(df: DataFrame, child: str, parent: str, fragment_rows: int = FRAGMENT_
     ids = df.select(F.explode(F.array(F.col(child).cast("bigint"), F.col(parent).cast("bigint"))).alias("node")).where("node is not null").distinct()
     links = cut_lineage(parent_links(df, child, parent).select("node", "parent", F.lit(1).cast("bigint").alias("hops"), F.col("node").alias("low")))
     n = links.count()
-    solved = _solve(links, n, 0, fragment_rows) if n else links.select("node", F.col("parent").alias("root"), F.col("hops").alias("depth"))
+    solved = _solve(links, n, 0, fragment_rows or fragment_size(df, n)) if n else links.select("node", F.col("parent").alias("root"), F.col("hops").alias("depth"))
     s = solved.select(F.col("node").alias("_n"), "root", "depth")
     return ids.join(s, F.col("node") == F.col("_n"), "left").select(
         "node", F.coalesce("root", "node").alias("root"), F.when(F.col("_n").isNull(), 0).otherwise(F.coalesce("depth", F.lit(-1))).cast("int").alias("depth")
     )
 
 
-def paths(df: DataFrame, child: str, parent: str, fragment_rows: int = FRAGMENT_ROWS) -> DataFrame:
+def paths(df: DataFrame, child: str, parent: str, fragment_rows: int | None = None) -> DataFrame:
     """(node, root, depth, path): path runs from the root to the node; null where the chain never ends.
 
     Built on ``roots`` by doubling: after step k a node knows its nearest 2^k ancestors, and joins the list of the

@@ -12,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -28,11 +29,14 @@ def get_spark(cpus: int | str = "*", **conf: str) -> SparkSession:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the reliable checkpoint folder and return the copy that reads it back.
 
-    The folder is the one named by ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary folder is made. Executors may be lost afterwards: the files are shared.
+    The folder is the one named by ``spark.checkpoint.dir``. Where that is unset a temporary folder is made on a local master; on a
+    cluster that is an error, as its executors share no local folder. Executors may be lost afterwards: the files are shared.
+    Files of copies that are no longer referred to are removed where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     sc = df.sparkSession.sparkContext
     if not sc.getConf().get("spark.checkpoint.dir", "") and sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="crateflow-"))
     return df.checkpoint(eager=True)
 
