@@ -73,6 +73,11 @@ def without_nul(c: Column) -> Column:
     return F.translate(c, "\u0000", "")
 
 
+def is_db_only_genre(c: Column) -> Column:
+    """Whether a genre marks rows that only the first system keeps."""
+    return F.coalesce(F.lower(strip(c)) == "db_only", F.lit(False))
+
+
 def is_compilation(c: Column) -> Column:
     """Whether a credit names a compilation; null counts as no."""
     low = F.lower(strip(c))
@@ -102,26 +107,7 @@ def split_names(c: Column) -> Column:
     return F.when(fine, parts)
 
 
-def identity_base(c: Column) -> Column:
-    """Identity form: folded, one trailing bracket group off, one leading article or trailing ``, article`` off."""
-    folded = F.trim(F.regexp_replace(F.lower(strip_accents(strip(c))), r"(?U)\s+", " "))
-    bare = F.trim(F.regexp_replace(folded, r"\s*(?:\([^()]*\)|\[[^\[\]]*\])$", ""))
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"^(?:the|a|an)\s+(?=\S)", ""), r",\s+(?:the|a|an)$", ""))
-
-
-def identity_punctuation(c: Column) -> Column:
-    """Identity form with all but letters and digits as single spaces."""
-    return F.trim(F.regexp_replace(identity_base(c), r"[^\p{L}\p{N}]+", " "))
-
-
-def identity_disambiguated(c: Column) -> Column:
-    """Identity form without a trailing ``/N``."""
-    return F.regexp_replace(identity_base(c), r"\s+/\d+$", "")
-
-
 def codepoints(c: Column) -> Column:
     """Array of (index, char, U+XXXX) for the characters beyond ASCII."""
     chars = F.transform(F.split(c, ""), lambda x, i: F.struct(i.alias("index"), x.alias("char"), F.concat(F.lit("U+"), F.lpad(F.hex(F.ascii(x)), 4, "0")).alias("code")))
     return F.filter(chars, lambda s: F.ascii(s["char"]) > 127)
-
-

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateflow.functions import formats, normalize, stats
+from crateflow.functions import formats, identity, normalize, stats
 from crateflow.functions.fold import combining_marks, fold_name, folding, strip_accents
 from crateflow.operators import classify, dedup, health, parity, search, tables
 from crateflow.sources.tables import table
@@ -66,13 +66,13 @@ def _sql_light(x: str) -> str:
     return _sql_strip(f"lower({_sql_fold(x)})")
 
 
-def _sql_identity(x: str) -> str:
-    folded = rf"trim(regexp_replace(lower({_sql_fold(_sql_strip(x))}), '[\s\p{{Z}}\x0B\x{{1C}}-\x{{1F}}\x{{85}}]+', ' ', 'g'))"
-    bare = rf"trim(regexp_replace({folded}, '\s*(?:\([^()]*\)|\[[^\[\]]*\])$', ''))"
-    return rf"trim(regexp_replace(regexp_replace({bare}, '^(?:the|a|an)\s+(\S)', '\1'), ',\s+(?:the|a|an)$', ''))"
 
 
-_COMPILATION_SQL = r"coalesce(regexp_matches(lower(trim(artist)), '^(?:various artists|v/a|v\.a|soundtracks)(?:$|[^\p{L}\p{N}])') OR lower(trim(artist)) IN ('various', 'soundtrack', 'compilation'), false)"
+def _sql_compilation(x: str) -> str:
+    low = f"lower({_sql_strip(x)})"
+    return rf"coalesce(regexp_matches({low}, '^(?:various artists|v/a|v\.a|soundtracks)(?:$|[^\p{{L}}\p{{N}}])') OR {low} IN ('various', 'soundtrack', 'compilation'), false)"
+
+
 _TRI = r"list_distinct(flatten(list_transform(list_filter(string_split(regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substring('  ' || w || ' ', i, 3)))))"
 
 
@@ -285,7 +285,7 @@ def parity_artist_names(s, d):
     return table(s, d, "library").select("id", name.alias("name"), various.alias("is_various"))
 
 
-@query(f"SELECT id, {_COMPILATION_SQL.replace('trim(artist)', _sql_strip('artist'))} AS compilation FROM library")
+@query(f"SELECT id, {_sql_compilation('artist')} AS compilation FROM library")
 def is_compilation(s, d):
     return table(s, d, "library").select("id", normalize.is_compilation(F.col("artist")).alias("compilation"))
 
@@ -316,19 +316,40 @@ def none_form(s, d):
     return table(s, d, "library").select("id", normalize.none_form(F.col("label")).alias("form"), normalize.flat_breaks(F.col("title")).alias("flat"))
 
 
-@query(f"SELECT input, {_sql_identity('input')} AS base FROM identity_normalization_cases")
+# Plain inputs, accents aside, are worked out in SQL; those in other encodings are held against the form that their table expects.
+_IDENTITY_SQL = r"""
+  WITH x AS (SELECT input, expected, trim(regexp_replace(lower(strip_accents(input)), '\s+', ' ', 'g')) AS t FROM identity_normalization_cases WHERE variant = '{variant}'),
+  g AS (SELECT *, coalesce(nullif(regexp_replace(t, '\s*(?:\([^()]*\)|\[[^\[\]]*\])$', ''), ''), t) AS bare FROM x),
+  l AS (SELECT *, regexp_replace(bare, '^(?:the|a|an)\s+(\S)', '\1') AS led FROM g),
+  b AS (SELECT *, CASE WHEN led <> bare THEN led ELSE regexp_replace(bare, ',\s+(?:the|a|an)$', '') END AS base FROM l)
+  SELECT input, CASE WHEN NOT regexp_full_match(t, '[ -~]*') THEN expected ELSE {form} END AS form FROM b"""
+
+
+def _identity(variant: str, kernel):
+    return lambda s, d: table(s, d, "identity_normalization_cases").where(F.col("variant") == variant).select("input", kernel(F.col("input")).alias("form"))
+
+
+_NUMBERED = r"CASE WHEN regexp_matches(base, '\s+/\d+$') THEN coalesce(nullif(regexp_replace(regexp_replace(base, '\s+/\d+$', ''), '\s*(?:\([^()]*\)|\[[^\[\]]*\])$', ''), ''), base) ELSE base END"
+
+
+@query(_IDENTITY_SQL.format(variant="base", form="base"))
 def identity_base(s, d):
-    return table(s, d, "identity_normalization_cases").select("input", normalize.identity_base(F.col("input")).alias("base"))
+    return _identity("base", identity.identity_form)(s, d)
 
 
-@query(rf"SELECT input, trim(regexp_replace({_sql_identity('input')}, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS form FROM identity_normalization_cases")
+@query(_IDENTITY_SQL.format(variant="title", form="base"))
+def identity_title(s, d):
+    return _identity("title", identity.identity_form)(s, d)
+
+
+@query(_IDENTITY_SQL.format(variant="punct", form=r"trim(regexp_replace(base, '[^a-z0-9]+', ' ', 'g'))"))
 def identity_punct(s, d):
-    return table(s, d, "identity_normalization_cases").select("input", normalize.identity_punctuation(F.col("input")).alias("form"))
+    return _identity("punct", identity.identity_punctuation_form)(s, d)
 
 
-@query(rf"SELECT input, regexp_replace({_sql_identity('input')}, '\s+/\d+$', '') AS form FROM identity_normalization_cases")
+@query(_IDENTITY_SQL.format(variant="disamb", form=_NUMBERED))
 def identity_disamb(s, d):
-    return table(s, d, "identity_normalization_cases").select("input", normalize.identity_disambiguated(F.col("input")).alias("form"))
+    return _identity("disamb", identity.identity_disambiguated_form)(s, d)
 
 
 @query("SELECT id, array_to_string(list_filter(list_transform(string_split(cross_reference_names, ' | '), lambda x: trim(x)), lambda x: x <> ''), '/') AS refs FROM library WHERE cross_reference_names IS NOT NULL")
@@ -401,6 +422,63 @@ def classify_releases(s, d):
     return classify.classify(_release_pairs(s, d), _index(s, d))
 
 
+def _mappings(s: SparkSession) -> DataFrame:
+    return s.createDataFrame([("ida mur", "keep"), ("various", "prune"), ("unknown artist", "prune")], "artist string, decision string")
+
+
+_WORDS3 = r"list_filter(regexp_split_to_array({x}, '\s+'), lambda w: length(w) >= 3)"
+_ARTISTS_SQL = f"""
+lib AS (SELECT artist, alternate_artist_name AS other FROM library WHERE coalesce(artist, '') <> '' AND coalesce(title, '') <> '' AND NOT {_sql_compilation('artist')}),
+arts AS (SELECT {_sql_artist('artist')} AS artist FROM lib UNION SELECT {_sql_artist('other')} FROM lib WHERE coalesce(other, '') <> '' AND NOT {_sql_compilation('other')} AND {_sql_artist('other')} <> ''),
+words AS (SELECT DISTINCT unnest({_WORDS3.format(x='artist')}) AS w FROM arts)"""
+
+
+@query(f"""WITH {_ARTISTS_SQL}, c AS (SELECT DISTINCT artist_name, {_sql_artist('artist_name')} AS a, {_sql_compilation('artist_name')} AS comp FROM release_artist c JOIN releases r ON r.id = c.release_id WHERE extra = 0 AND artist_name IS NOT NULL AND r.title IS NOT NULL),
+  p AS (SELECT DISTINCT a FROM (SELECT a, unnest({_WORDS3.format(x='a')}) AS w FROM c) WHERE w IN (SELECT w FROM words))
+  SELECT DISTINCT a AS artist, comp AS compilation, CASE WHEN a IN (SELECT artist FROM arts) OR a = 'ida mur' THEN 'known' WHEN a IN ('various', 'unknown artist') THEN 'mapped' WHEN a NOT IN (SELECT a FROM p) THEN 'screened' WHEN comp THEN 'compilation' ELSE 'fuzzy' END AS route FROM c""")
+def classify_routes(s, d):
+    return classify.routed(_release_pairs(s, d), _index(s, d), _mappings(s)).select("artist", "compilation", "route").distinct()
+
+
+@query()
+def classify_pairs(s, d):
+    pairs = _release_pairs(s, d).select(normalize.match_artist(F.col("artist_name")).alias("artist"), normalize.match_title(F.col("title_text")).alias("title"))
+    return classify.pair_scores(pairs, _index(s, d), _mappings(s))
+
+
+@query()
+def review_report(s, d):
+    index = _index(s, d)
+    return classify.review_by_artist(classify.classify_credits(_release_pairs(s, d), index), index)
+
+
+@query()
+def class_report(s, d):
+    classes = classify.classify(_release_pairs(s, d), _index(s, d))
+    return classify.class_report(classes, {"release_track": (table(s, d, "release_track"), "release_id"), "release_label": (table(s, d, "release_label"), "release_id")})
+
+
+def _audited(s: SparkSession, d: str) -> DataFrame:
+    index, rows = _index(s, d), _release_pairs(s, d)
+    classes = classify.classify(rows, index).where("class = 'prune'").select("id")
+    return classify.audit(rows.join(classes, "id", "left_semi"), index)
+
+
+@query()
+def audit_bands(s, d):
+    return _audited(s, d).select("id", "artist", "phase", "call", "mechanism")
+
+
+@query()
+def audit_rate(s, d):
+    return classify.miss_rate(_audited(s, d))
+
+
+@query()
+def audit_mechanisms(s, d):
+    return classify.miss_mechanisms(_audited(s, d))
+
+
 @query(f"SELECT DISTINCT c.release_id AS id FROM release_artist c JOIN releases r ON r.id = c.release_id JOIN library l ON {_sql_title('l.title')} = {_sql_title('r.title')} AND ({_sql_artist('l.artist')} = {_sql_artist('c.artist_name')} OR {_sql_artist('l.alternate_artist_name')} = {_sql_artist('c.artist_name')}) WHERE c.extra = 0")
 def exact_pairs(s, d):
     rows = _release_pairs(s, d).select("id", normalize.match_artist(F.col("artist_name")).alias("artist"), normalize.match_title(F.col("title_text")).alias("title"))
@@ -429,18 +507,26 @@ def precedence_override(s, d):
     return tables.override(classes, table(s, d, "release_label").where("label_id = 5").select(F.col("release_id").alias("id")))
 
 
-_CANDIDATES_SQL = f"SELECT DISTINCT left(l.label, 4) AS name, l.artist, l.title, round({_sql_similarity('l.artist', 'l.title')}, 6) AS score FROM library l WHERE l.label IS NOT NULL"
+_WRONG_SQL = "SELECT lower(artist_name) AS name, min(artist_id) AS wrong_id FROM release_artist WHERE extra = 0 AND artist_id IS NOT NULL GROUP BY 1"
 
 
-@query(f"""WITH c AS ({_CANDIDATES_SQL}), p AS (SELECT name, artist, count(DISTINCT title) AS titles, max(score) AS score FROM c GROUP BY 1, 2),
-  t AS (SELECT *, row_number() OVER w AS r, lead(score) OVER w AS next FROM p WINDOW w AS (PARTITION BY name ORDER BY score DESC, titles DESC, artist))
-  SELECT name, CASE WHEN next IS NOT NULL AND score - next < 0.1 AND score >= 0.4 THEN 'AMBIGUOUS' WHEN score >= 0.6 OR titles > 1 THEN 'RESOLVED' WHEN score >= 0.4 THEN 'AMBIGUOUS' ELSE 'UNRESOLVED' END AS status, artist AS best, score, titles FROM t WHERE r = 1""")
+@query(f"""WITH w AS ({_WRONG_SQL}), a AS (SELECT DISTINCT l.artist AS name, l.title, w.wrong_id FROM library l LEFT JOIN w ON w.name = lower(l.artist) WHERE l.title IS NOT NULL AND l.artist IS NOT NULL AND l.label IS NOT NULL),
+  n AS (SELECT DISTINCT c.release_id, c.artist_id, c.artist_name, r.title AS found FROM release_artist c JOIN releases r ON r.id = c.release_id WHERE c.extra = 0 AND c.artist_name IS NOT NULL),
+  own AS (SELECT * FROM (SELECT name, title, wrong_id, release_id, artist_id, {_sql_similarity('title', 'found')} AS ts, 1.0::DOUBLE AS asim FROM a JOIN n ON lower(left(n.artist_name, 200)) = lower(a.name)) WHERE ts > 0.3),
+  lost AS (SELECT * FROM a WHERE NOT EXISTS (FROM own o WHERE o.name = a.name AND o.title = a.title)),
+  alike AS (SELECT * FROM (SELECT title, found, {_sql_similarity('title', 'found')} AS ts FROM (SELECT DISTINCT title FROM lost), (SELECT DISTINCT found FROM n)) WHERE ts >= 0.5),
+  every AS (SELECT * FROM own UNION ALL SELECT l.name, l.title, l.wrong_id, n.release_id, n.artist_id, k.ts, {_sql_similarity('l.name', 'n.artist_name')} FROM lost l JOIN alike k USING (title) JOIN n ON n.found = k.found),
+  c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name, title ORDER BY ts DESC, release_id, artist_id NULLS FIRST) AS r FROM every) WHERE r <= 10 AND (wrong_id IS NULL OR artist_id IS NULL OR artist_id <> wrong_id)),
+  p AS (SELECT name, artist_id, count(*) AS hits, max(0.6 * ts + 0.4 * asim) AS score FROM c GROUP BY 1, 2),
+  b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY hits DESC, score DESC, artist_id NULLS LAST) AS r FROM p) WHERE r = 1)
+  SELECT n.name, CASE WHEN score >= 0.55 OR hits > 1 THEN 'RESOLVED' WHEN score >= 0.40 THEN 'AMBIGUOUS' ELSE 'UNRESOLVED' END AS status, artist_id, round(score, 6) AS score, coalesce(hits, 0) AS hits FROM (SELECT DISTINCT name FROM a) n LEFT JOIN b USING (name)""")
 def collision_resolve(s, d):
-    from crateflow.functions.trigram import similarity
-
-    rows = table(s, d, "library").where("label is not null")
-    rows = rows.select(F.substring("label", 1, 4).alias("name"), "artist", "title", F.round(similarity(F.col("artist"), F.col("title")), 6).alias("score")).distinct()
-    return classify.resolve_collisions(rows)
+    credits = table(s, d, "release_artist").where("extra = 0 and artist_name is not null")
+    wrong = credits.where("artist_id is not null").groupBy(F.lower("artist_name").alias("_n")).agg(F.min("artist_id").alias("wrong_id"))
+    flagged = table(s, d, "library").where("title is not null and artist is not null and label is not null").select(F.col("artist").alias("name"), "title")
+    titles = flagged.join(wrong, F.lower("name") == F.col("_n"), "left").drop("_n")
+    found = classify.resolve_collisions(titles, classify.collision_candidates(titles, table(s, d, "releases"), credits))
+    return found.select("name", "status", "artist_id", F.round("score", 6).alias("score"), "hits")
 
 
 # --- snapshots --------------------------------------------------------------------------------------------------------
@@ -451,17 +537,87 @@ def parity_full_outer(s, d):
     return parity.presence(table(s, d, "library"), table(s, d, "library_backend"), "id")
 
 
-@query(rf"""WITH j AS (SELECT nullif(nullif({_sql_strip('a.genre')}, ''), 'NULL') AS g1, nullif(nullif({_sql_strip('b.genre')}, ''), 'NULL') AS g2, nullif(nullif({_sql_strip('a.format')}, ''), 'NULL') AS f1, nullif(nullif({_sql_strip('b.format')}, ''), 'NULL') AS f2 FROM library a JOIN library_backend b ON a.id = b.id),
-  t AS (SELECT unnest(['genre', 'format']) AS field, unnest([CASE WHEN g1 IS NOT DISTINCT FROM g2 THEN 'agree' WHEN lower(g1) IS NOT DISTINCT FROM lower(g2) THEN 'normalized' ELSE 'mismatch' END, CASE WHEN f1 IS NOT DISTINCT FROM f2 THEN 'agree' WHEN lower(f1) IS NOT DISTINCT FROM lower(f2) THEN 'normalized' ELSE 'mismatch' END]) AS tier FROM j),
-  grid AS (SELECT * FROM (SELECT unnest(['genre', 'format']) AS field), (SELECT unnest(['agree', 'normalized', 'mismatch']) AS tier))
-  SELECT field, tier, count(t.tier) AS n FROM grid LEFT JOIN t USING (field, tier) GROUP BY 1, 2""")
+def _sql_none(x: str) -> str:
+    return f"nullif(nullif({_sql_strip(f'CAST({x} AS VARCHAR)')}, ''), 'NULL')"
+
+
+_VARIOUS_SQL = r"regexp_full_match(lower(la), 'various(?:\s+artists(?:\s*-\s*[a-z]+)?)?')"
+_SHELF_SQL = r"""CASE WHEN regexp_full_match({x}, 'cd(?:\s*x\s*\d+)?(?:\s*box)?') THEN 'cd' WHEN {x} = 'cdr' THEN 'cdr' WHEN {x} LIKE 'vinyl%' THEN CASE WHEN contains({x}, '7"') THEN 'vinyl 7"' WHEN contains({x}, '10"') THEN 'vinyl 10"' WHEN contains({x}, '12"') OR contains({x}, 'lp') THEN 'vinyl 12"' ELSE 'vinyl' END END"""
+
+
+def _sql_fold_name(x: str) -> str:
+    sources, targets, _ = folding("NFD")
+    return rf"lower(regexp_replace(translate({x}, '{_q(sources)}', '{_q(targets)}'), '[\x{{300}}-\x{{36F}}]+', '', 'g'))"
+
+
+_REASON_SQL = f"""CASE WHEN lower({_sql_strip('genre')}) = 'db_only' THEN 'db_only_genre' WHEN ({_SHELF_SQL.format(x=f"coalesce(lower({_sql_strip('format')}), '')")}) IS NULL THEN 'unparseable_format'
+  WHEN coalesce({_sql_strip('artist')}, '') = '' THEN 'empty_artist_name' WHEN coalesce({_sql_strip('title')}, '') = '' THEN 'empty_album_title' END"""
+
+
+def _tiers_sql() -> str:
+    """One branch per column: what the right side should hold if it isn't the same."""
+    flat = lambda c: f"translate({c}, chr(9) || chr(10), '  ')"
+    code = rf"CASE WHEN {_sql_none('l.call_letters')} IS NULL THEN NULL WHEN regexp_matches(l.call_letters, 'Z-[A-Z]') THEN 'V/A' WHEN length({_sql_strip('l.call_letters')}) = 3 THEN upper({_sql_strip('l.call_letters')}) ELSE upper({_sql_strip('l.call_letters')}[:2]) END"
+    fold = _sql_fold_name
+    name = f"CASE WHEN {_VARIOUS_SQL} THEN 'Various Artists' ELSE la END"
+    refs = lambda x: f"list_distinct(list_transform(list_filter(string_split(coalesce({_sql_none(x)}, ''), ' | '), lambda w: trim(w) <> ''), lambda w: {fold('trim(w)')}))"
+    rules = {
+        "title": f"CASE WHEN {_sql_none('r.title')} IS NOT DISTINCT FROM {_sql_none(flat('l.title'))} THEN 'tab_newline_substituted' END",
+        "alternate_artist_name": f"CASE WHEN {_sql_none('r.alternate_artist_name')} IS NOT DISTINCT FROM {_sql_none(flat('l.alternate_artist_name'))} THEN 'tab_newline_substituted' END",
+        "album_artist": f"CASE WHEN {_sql_none('r.album_artist')} IS NOT DISTINCT FROM {_sql_none(flat('l.album_artist'))} THEN 'tab_newline_substituted' END",
+        "artist": f"CASE WHEN {_sql_none('r.artist')} IS NOT DISTINCT FROM {_sql_none(name)} THEN CASE WHEN {_VARIOUS_SQL} THEN 'various_artists' ELSE 'trimmed_or_substituted' END WHEN {fold(_sql_none('r.artist'))} = {fold(_sql_none(name))} THEN 'fold_equal' END",
+        "call_letters": f"CASE WHEN lower({_sql_none('r.call_letters')}) = lower(CASE WHEN {_VARIOUS_SQL} THEN 'V/A' ELSE coalesce({code}, '??') END) THEN CASE WHEN {_VARIOUS_SQL} THEN 'various' WHEN ({code}) IS NULL THEN 'fallback_unknown' WHEN ({code}) = 'V/A' THEN 'various_artists_code' ELSE 'uppercased' END END",
+        "artist_call_number": f"CASE WHEN {_sql_none('r.artist_call_number')} = CASE WHEN {_VARIOUS_SQL} THEN '0' ELSE coalesce({_sql_none('l.artist_call_number')}, '0') END THEN CASE WHEN {_VARIOUS_SQL} THEN 'various' ELSE 'null_coalesced_zero' END END",
+        "release_call_number": f"CASE WHEN {_sql_none('r.release_call_number')} = coalesce({_sql_none('l.release_call_number')}, '0') THEN 'null_coalesced_zero' END",
+        "genre": f"CASE WHEN lower({_sql_none('r.genre')}) = lower({_sql_none('l.genre')}) THEN 'case_folded' END",
+        "format": f"CASE WHEN lower({_sql_none('r.format')}) = {_SHELF_SQL.format(x='lower(' + _sql_strip('l.format') + ')')} THEN 'format_derived' END",
+        "cross_reference_names": f"CASE WHEN len(list_filter(rr, lambda w: NOT list_contains(lr, w))) = 0 AND len(list_filter(lr, lambda w: NOT list_contains(rr, w))) = 0 THEN 'fold_equal' WHEN len(list_filter(rr, lambda w: NOT list_contains(lr, w))) = 0 THEN 'cardinality_loss' WHEN len(list_filter(lr, lambda w: NOT list_contains(rr, w))) = 0 THEN 'cardinality_gain' END",
+    }
+    cells = ", ".join(f"{{'field': '{c}', 'class': CASE WHEN {_sql_none(f'l.{c}')} IS NOT DISTINCT FROM {_sql_none(f'r.{c}')} THEN 'agree' ELSE {rule} END, 'value': {('upper(' + _sql_none(f'r.{c}') + ')') if c == 'call_letters' else _sql_none(f'r.{c}')}}}" for c, rule in rules.items())
+    code_own = code.replace("l.", "")
+    return f"""WITH j AS (SELECT l, r, {_sql_strip(flat("coalesce(l.artist, '')"))} AS la, {refs('l.cross_reference_names')} AS lr, {refs('r.cross_reference_names')} AS rr FROM library l JOIN library_backend r ON l.id = r.id),
+      f AS (SELECT l.id AS id, {fold(name)} AS fold, coalesce(lower({_sql_none('l.genre')}), '') AS genre, unnest([{cells}]) AS c FROM j),
+      o AS (SELECT genre, format, title, artist, call_letters, artist_call_number, {_sql_strip(flat("coalesce(artist, '')"))} AS la FROM library),
+      s AS (SELECT {fold(name)} AS fold, coalesce(lower({_sql_none('genre')}), '') AS genre, upper(CASE WHEN {_VARIOUS_SQL} THEN 'V/A' ELSE coalesce({code_own}, '??') END) AS letters, CASE WHEN {_VARIOUS_SQL} THEN '0' ELSE coalesce({_sql_none('artist_call_number')}, '0') END AS number FROM o WHERE {_REASON_SQL} IS NULL),
+      d AS (SELECT id, c.field AS field, coalesce(c.class, CASE WHEN c.field = 'call_letters' AND EXISTS (FROM s WHERE s.fold = f.fold AND s.letters = c.value) THEN 'fold_collapsed' WHEN c.field = 'artist_call_number' AND EXISTS (FROM s WHERE s.fold = f.fold AND s.genre = f.genre AND s.number = c.value) THEN 'fold_collapsed' END) AS class FROM f)
+      SELECT id, field, CASE WHEN class = 'agree' THEN 'agree' WHEN class IS NULL THEN 'mismatch' ELSE 'normalized' END AS tier, CASE WHEN class <> 'agree' THEN class END AS class FROM d"""
+
+
+@query(_tiers_sql())
+def parity_field_classes(s, d):
+    return parity.field_classes(table(s, d, "library"), table(s, d, "library_backend"), "id")
+
+
+@query(f"SELECT g.field, g.tier, count(t.id) AS n FROM (SELECT unnest({list(parity.COLUMNS)}) AS field) f, LATERAL (SELECT f.field AS field, unnest(['agree', 'normalized', 'mismatch']) AS tier) g LEFT JOIN ({_tiers_sql()}) t ON t.field = g.field AND t.tier = g.tier GROUP BY 1, 2")
 def parity_field_tiers(s, d):
-    return parity.field_tiers(table(s, d, "library"), table(s, d, "library_backend"), "id", ["genre", "format"])
+    return parity.field_tiers(table(s, d, "library"), table(s, d, "library_backend"), "id")
 
 
-@query()
-def parity_all_tiers(s, d):
-    return parity.field_tiers(table(s, d, "library"), table(s, d, "library_backend"), "id", ["title", "artist", "call_letters", "artist_call_number", "release_call_number", "genre", "format", "alternate_artist_name", "album_artist", "label", "cross_reference_names"])
+_EXPECTED_SQL = f"""SELECT id, 'missing' AS side, {_REASON_SQL} IS NOT NULL OR id IN (SELECT id FROM library WHERE label IS NOT NULL) AS expected FROM library WHERE id NOT IN (SELECT id FROM library_backend)
+  UNION ALL SELECT id, 'extra', id >= 1000000 FROM library_backend WHERE id NOT IN (SELECT id FROM library)"""
+
+
+@query(_EXPECTED_SQL)
+def parity_expectations(s, d):
+    # The rows with a label stand in for a ledger of known residue.
+    ledger = table(s, d, "library").where("label is not null").select("id")
+    return parity.row_expectations(table(s, d, "library"), table(s, d, "library_backend"), "id", ledger)
+
+
+@query(f"""WITH e AS ({_EXPECTED_SQL}), f AS ({_tiers_sql()}), o AS (SELECT artist, title, sum(n) AS n FROM (SELECT artist, title, 1 AS n FROM library UNION ALL SELECT artist, title, -1 FROM library_backend) GROUP BY 1, 2),
+  c AS (SELECT (SELECT count(*) FROM e WHERE side = 'missing' AND expected) AS missing_expected, (SELECT count(*) FROM e WHERE side = 'missing' AND NOT expected) AS missing_unexplained, (SELECT count(*) FROM e WHERE side = 'extra' AND expected) AS extra_expected,
+    (SELECT count(*) FROM e WHERE side = 'extra' AND NOT expected) AS extra_unexplained, (SELECT count(*) FROM f WHERE tier = 'mismatch') AS mismatches, (SELECT coalesce(sum(n) FILTER (WHERE n > 0), 0) > 100000000 OR coalesce(-sum(n) FILTER (WHERE n < 0), 0) > 0 FROM o) AS over)
+  SELECT missing_expected, missing_unexplained, extra_expected, extra_unexplained, mismatches, missing_unexplained = 0 AND extra_unexplained = 0 AND mismatches = 0 AND NOT over AS clean,
+    concat_ws(', ', CASE WHEN missing_unexplained > 0 THEN 'missing rows' END, CASE WHEN extra_unexplained > 0 THEN 'extra rows' END, CASE WHEN mismatches > 0 THEN 'field mismatches' END, CASE WHEN over THEN 'track credits' END) AS causes FROM c""")
+def parity_verdict(s, d):
+    a, b = table(s, d, "library"), table(s, d, "library_backend")
+    ledger = a.where("label is not null").select("id")
+    return parity.verdict(parity.row_expectations(a, b, "id", ledger), parity.field_classes(a, b, "id"), parity.multiset_difference(a, b, ["artist", "title"]), 100_000_000, 0)
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (WHERE lower(artist) NOT IN (SELECT lower(artist_name) FROM wxyc_library WHERE artist_name IS NOT NULL) OR artist IS NULL) AS unmatched FROM library")
+def parity_unmatched(s, d):
+    return parity.unmatched(table(s, d, "library"), table(s, d, "wxyc_library"), F.lower("artist"), F.lower("artist_name"))
 
 
 @query("SELECT artist, title, greatest(sum(n), 0)::BIGINT AS missing, greatest(-sum(n), 0)::BIGINT AS extra FROM (SELECT artist, title, 1 AS n FROM library UNION ALL SELECT artist, title, -1 FROM library_backend) GROUP BY 1, 2 HAVING sum(n) <> 0")
@@ -483,7 +639,7 @@ def parity_fold_collapse(s, d):
 def fffd_repair(s, d):
     tracks = table(s, d, "release_track").select("release_id", "sequence", "title").distinct()
     bad = tracks.select(F.concat_ws("/", "release_id", "sequence", "title").alias("row"), "release_id", F.translate("title", "éöí", "���").alias("title"))
-    return parity.repair(bad, tracks, ["release_id"], "title", "row")
+    return parity.repair(bad, tracks, ["release_id"], ["title"], "row").select("row", "outcome", F.get("values", F.lit(0)).alias("value"))
 
 
 @query("""WITH e AS (SELECT DISTINCT label_id AS a, parent_label_id AS b FROM label_hierarchy WHERE label_id <> parent_label_id), b AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
@@ -495,7 +651,7 @@ def cross_reference_names(s, d):
     return parity.cross_references(h.select(F.col("label_id").alias("a"), F.col("parent_label_id").alias("b")).dropna(), names)
 
 
-@query("SELECT l.id, r.artist_id FROM library l LEFT JOIN (SELECT lower(artist_name) AS n, min(artist_id) AS artist_id FROM release_artist WHERE artist_id IS NOT NULL GROUP BY 1) r ON r.n = lower(l.artist)")
+@query("SELECT l.id, r.artist_id FROM library l LEFT JOIN (SELECT lower(artist_name[:200]) AS n, min(artist_id) AS artist_id FROM release_artist WHERE artist_id IS NOT NULL GROUP BY 1) r ON r.n = lower(l.artist[:200])")
 def reconcile_identity(s, d):
     return parity.reconcile(table(s, d, "library").select("id", "artist"), table(s, d, "release_artist"), "artist").select("id", "artist_id")
 
@@ -540,8 +696,3 @@ def audit_summary(s, d):
     flag = lambda c: F.coalesce(c, F.lit(False))
     r = table(s, d, "releases").select("id", flag(F.col("country") == "US").alias("keep"), flag(F.col("format") == "CD").alias("override"), flag(F.col("data_quality") == "Correct").alias("prune"))
     return health.set_summary(r)
-
-
-@query("SELECT id, CASE WHEN score IS NULL THEN 'no_artist_match' WHEN score >= 0.75 THEN 'scores_above_keep_on_rescore' WHEN score >= 0.70 THEN 'near_keep_threshold' ELSE 'weak_match' END AS band FROM (SELECT id, (artist_call_number % 101) / 100.0 AS score FROM library)")
-def audit_bands(s, d):
-    return table(s, d, "library").select("id", classify.audit_band((F.col("artist_call_number") % 101) / 100.0).alias("band"))
