@@ -57,3 +57,9 @@ def explains(damaged: str | None, clean: str | None) -> bool:
 @F.pandas_udf(T.BooleanType())
 def explained_by(damaged: pd.Series, clean: pd.Series) -> pd.Series:
     return pd.Series([explains(d, c) for d, c in zip(damaged, clean)], dtype=bool)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def readings(texts: pd.Series) -> pd.Series:
+    """The text and its misreadings, without repeats; null for null."""
+    return pd.Series([None if t is None else misread(t) for t in texts], dtype=object)

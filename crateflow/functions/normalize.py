@@ -111,3 +111,8 @@ def codepoints(c: Column) -> Column:
     """Array of (index, char, U+XXXX) for the characters beyond ASCII."""
     chars = F.transform(F.split(c, ""), lambda x, i: F.struct(i.alias("index"), x.alias("char"), F.concat(F.lit("U+"), F.lpad(F.hex(F.ascii(x)), 4, "0")).alias("code")))
     return F.filter(chars, lambda s: F.ascii(s["char"]) > 127)
+
+
+def artwork_uri(document: Column) -> Column:
+    """Address of the first image of a release's JSON; null where there's none or it's empty."""
+    return F.nullif(F.get_json_object(document, "$.images[0].uri"), F.lit(""))

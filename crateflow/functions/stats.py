@@ -21,13 +21,25 @@ def release_year(released: Column) -> Column:
 
 
 def readable_bytes(n: Column) -> Column:
-    """Bytes with a unit of 1024 steps."""
-    out = F.format_string("%.1f GB", n / float(1 << 30))
+    """Bytes with a unit of 1024 steps; a half is rounded to the even digit."""
+    out = F.format_string("%.1f GB", F.bround(n / float(1 << 30), 1))
     for unit, step in (("MB", 1 << 30), ("kB", 1 << 20)):
-        out = F.when(n < step, F.format_string(f"%.1f {unit}", n / float(step >> 10))).otherwise(out)
+        out = F.when(n < step, F.format_string(f"%.1f {unit}", F.bround(n / float(step >> 10), 1))).otherwise(out)
     return F.when(n < 1024, F.concat(n.cast("string"), F.lit(" bytes"))).otherwise(out)
 
 
 def fresh(attempted_at: Column, ttl_seconds: Column, now: Column) -> Column:
     """Whether a stamp is still within its time to live."""
     return attempted_at + F.make_interval(secs=ttl_seconds) > now
+
+
+def redact_dsn(dsn: Column) -> Column:
+    """``host[:port]/database`` of a connection string, URL or keywords, with placeholders for what it leaves open; never a credential."""
+    empty = lambda c, other: F.coalesce(F.nullif(c, F.lit("")), F.lit(other))
+    url = F.concat(
+        empty(F.regexp_extract(dsn, r"^[a-z]+://(?:[^/@]*@)?([^/?]*)", 1), "<local socket>"), F.lit("/"), empty(F.regexp_extract(dsn, r"^[a-z]+://[^/]*/([^?]*)", 1), "<default db>")
+    )
+    word = lambda key: F.regexp_extract(dsn, rf"(?:^|\s){key}\s*=\s*(\S+)", 1)
+    port = F.when(word("port") != "", F.concat(F.lit(":"), word("port"))).otherwise("")
+    keywords = F.concat(empty(word("host"), "<local socket>"), port, F.lit("/"), empty(word("dbname"), "<default db>"))
+    return F.when(dsn.rlike("^[a-z]+://"), url).when(dsn.rlike(r"^\s*\w+\s*=\s*\S+"), keywords).otherwise("<unparseable>")

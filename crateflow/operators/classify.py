@@ -35,7 +35,7 @@ class Thresholds:
 # --- the library --------------------------------------------------------------------------------------------------------
 
 
-def _components(rows: DataFrame, artists: DataFrame) -> DataFrame:
+def name_components(rows: DataFrame, artists: DataFrame) -> DataFrame:
     """(artist, title): the parts of joint credits. Those at commas, slashes and plus signs always, those at ampersands if the library has one of
     the parts as an artist."""
     plain = rows.select("raw", "title", split_names(F.col("raw")).alias("parts"))
@@ -64,7 +64,7 @@ def library_index(library: DataFrame, artist: str, title: str, alternate: str |
     pairs = direct.groupBy("artist", "title").agg(F.array_sort(F.collect_set("format")).alias("formats"), F.bool_or(F.col("format").isNull()).alias("any_format"), F.bool_or("combined").alias("combined"))
     pairs = cut_lineage(pairs)
     artists = pairs.select("artist").distinct()
-    parts = _components(main, artists).join(pairs.select("artist", "title"), ["artist", "title"], "left_anti")
+    parts = name_components(main, artists).join(pairs.select("artist", "title"), ["artist", "title"], "left_anti")
     every = pairs.drop("combined").unionByName(parts.select("artist", "title", F.array().cast("array<string>").alias("formats"), F.lit(False).alias("any_format")))
     return {
         "pairs": cut_lineage(every),

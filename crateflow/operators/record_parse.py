@@ -7,11 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.functions.fsm import tokenize
 
+#: Bytes of records that are tokenized at once; the machine holds about 50 times as many.
+SLICE_BYTES = 4_000_000
+
 
 @dataclass(frozen=True)
 class Field:
@@ -69,8 +73,19 @@ def _valid(kind: str, c: Column) -> Column:
     return F.lit(True)
 
 
+def _slices(batch: pa.RecordBatch, record: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of records, or of one record."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(record))), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths.astype(np.int64) + 1)
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + most, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _tokenized(batches: Iterator[pa.RecordBatch], key: str, record: str, group: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (s for b in batches for s in _slices(b, record, SLICE_BYTES)):
         raw = batch.column(batch.schema.get_field_index(record))
         raw = raw.cast(pa.large_string()).fill_null("")
         n = len(raw)
@@ -105,7 +120,7 @@ def parse_records(df: DataFrame, key: str, record: str, group: str, layouts: dic
     field, ``error_field`` its name); null for a loadable record. A null record counts as an empty one, which has one
     field; a record of a group without a layout fails with ``columns``. Repeated rows stay as they are; columns
     other than the three named ones are not carried, so they cannot clash. No shuffle: the scan's partitions
-    go through one Arrow pass, each batch on its own.
+    go through one Arrow pass, in slices of bounded size.
     """
     kind = dict(df.dtypes)[key]
     schema = f"_key {kind}, _group string, _bad_at bigint, _fields array<string>"

@@ -70,7 +70,7 @@ def table_diff(left: DataFrame, right: DataFrame, key: str, fields: list[str], b
     hashed into buckets of about ``bucket_rows`` keys that are cogrouped as Arrow tables.
     """
     a, b = (_one_row_per_key(x, key, fields) for x in (left, right))
-    rows = max(left.count(), right.count())  # from parquet footers, no data read
+    rows = max(left.count(), right.count())  # of files from their footers; a derived table is worked out once more for it
     buckets = max(1, -(-rows // bucket_rows), int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     by = F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int")
     a, b = a.withColumn("_bucket", by), b.withColumn("_bucket", by)

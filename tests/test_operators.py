@@ -1,10 +1,11 @@
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from crateflow.functions.similarity import token_set
-from crateflow.operators import classify, dedup, search, tables
+from crateflow.functions.similarity import jaro_winkler, token_set, token_sort
+from crateflow.operators import classify, dedup, fuzzy_match, search, tables
 
 
 def test_unknown_country_ranks_first_and_trackless_stay(spark):
@@ -31,23 +32,132 @@ def test_decision_table(spark, scores, want):
     assert spark.range(1).select(classify.decide(*[F.lit(x) for x in scores]).alias("c")).first().c == want
 
 
-def test_known_artist_and_format(spark):
-    lib = spark.createDataFrame([("Autechre", "Confield", "CD"), ("Various", "Warp Sampler", "CD")], "artist string, title string, format string")
-    index = classify.library_index(lib, "artist", "title", None, F.col("format"))
-    rel = spark.createDataFrame([(1, "Autechre", "Confield", "CD"), (2, "Autechre", "Confield", "Vinyl"), (3, "Autechre", "Zzz", "CD"), (4, "Various", "Warp Sampler", "CD"), (5, "Nobody Here", "Confield", "CD"), (6, "Autechri", "Confield", "CD")], "id int, artist_name string, title_text string, format string")
-    got = {r.id: r["class"] for r in classify.classify(rel, index).collect()}
-    assert got[1] == "keep" and got[2] == "prune" and got[3] == "prune" and got[4] == "keep" and got[5] == "prune"
+LIBRARY = [
+    ("Ida Mur", "Pale Ferry", "CD", None), ("Ida Mur", "Amber Stone", None, None), ("Bo Lind & Ida Mur", "Two Rivers", "CD", None), ("Nils Ek", "Long Winter", "CD", "Ferry"), ("Various", "Harbor Sampler", "CD", None),
+    ("Kip Lor + Ann Lee", "Echo", "LP", None), ("Soundtrack", "Night Train", "CD", "Jo Ray"), (None, "Nothing", "CD", None), ("Empty", "", "CD", None), ("Sampler Makers", "Cut", "CD", None),
+]
+
+
+def _index(spark):
+    lib = spark.createDataFrame(LIBRARY, "artist string, title string, format string, other string")
+    return classify.library_index(lib, "artist", "title", "other", F.col("format"))
+
+
+def test_library_index(spark):
+    index = _index(spark)
+    artists = {r.artist for r in index["artists"].collect()}
+    assert artists == {"ida mur", "bo lind and ida mur", "nils ek", "ferry", "kip lor + ann lee", "sampler makers"}
+    pairs = {(r.artist, r.title) for r in index["pairs"].collect()}
+    # Parts of joint credits are pairs but no artists; an ampersand parts names only where one of them is known. Compilations' aliases don't count.
+    assert {("ida mur", "two rivers"), ("bo lind", "two rivers"), ("ann lee", "echo"), ("ferry", "long winter")} <= pairs and not {a for a, _ in pairs} & {"jo ray", "various", "soundtrack"}
+    assert {r.title for r in index["compilation_titles"].collect()} == {"harbor sampler", "night train"}
+    assert "ferry ||| long winter" not in {r.text for r in index["combined"].collect()}
+
+
+@pytest.mark.parametrize("artist,title,fmt,want,phase", [
+    ("Ida Mur", "Pale Ferry", "CD", "keep", "known"), ("Ida Mur", "Pale Ferry", "Vinyl", "prune", "known"), ("Ida Mur", "Amber Stone", "Vinyl", "keep", "known"),
+    ("Ida Mur", "Ferry Pale Again", "Vinyl", "keep", "known"), ("Ida Mur", "Zzz", "CD", "prune", "known"), ("Ferry", "Long Winter", "CD", "keep", "known"),
+    ("Bo Lind", "Two Rivers", "CD", "keep", "fuzzy"), ("Yo Lu", "Pale Ferry", "CD", "prune", "screened"), ("Mapped", "Pale Ferry", "CD", "prune", "mapped"), ("Told", "Pale Ferry", "CD", "prune", "known"),
+    ("Various", "Harbor Sampler", "CD", "prune", "screened"), ("Ida Mur and the Very Large Orchestra", "Amber Stone", "CD", "keep", "fuzzy"), ("Idda Murr Trio Ferry", "Long Winter", None, "keep", "fuzzy"), ("Idda Murr Ferry", "Pale Ferry", None, "prune", "fuzzy"),
+])
+def test_classification_table(spark, artist, title, fmt, want, phase):
+    told = spark.createDataFrame([("mapped", "prune"), ("told", "keep")], "artist string, decision string")
+    row = spark.createDataFrame([(1, artist, title, fmt)], "id int, artist_name string, title_text string, format string")
+    got = classify.classify(row, _index(spark), told).first()
+    assert (got["class"], got.phase) == (want, phase)
+
+
+def test_best_class_of_several_credits(spark):
+    rows = spark.createDataFrame([(1, "a", "prune", "fuzzy", 0.1), (1, "b", "keep", "known", 1.0), (2, "a", "prune", "known", 0.0), (2, "b", "review", "fuzzy", 0.7)], "id int, artist string, class string, phase string, score double")
+    assert {r.id: r["class"] for r in classify.best_class(rows).collect()} == {1: "keep", 2: "review"}
+    report = classify.review_by_artist(rows, _index(spark)).collect()
+    assert [(r.artist, r.releases, r.best_score) for r in report] == [("b", 1, 0.7)]
+
+
+def _words(rnd):
+    return " ".join(rnd.choice(["ida", "mur", "trio", "the", "bo", "lind", "band", "and", "u2", "x", "orchestra", "idda", "murr", "ab ab"]) for _ in range(rnd.randrange(0, 5)))
+
+
+@pytest.mark.parametrize("scorer,ratio", [("set", token_set), ("sort", token_sort)])
+def test_best_match_equals_brute_force(scorer, ratio):
+    rnd = random.Random(7)
+    texts = sorted({_words(rnd) for _ in range(150)})
+    index = fuzzy_match.Candidates(texts, scorer)
+    for _ in range(300):
+        q = _words(rnd) if rnd.random() < 0.7 else "".join(rnd.choice("abdimru ") for _ in range(8))
+        for cutoff in (60, 70):
+            scores = [ratio(q, t) for t in texts]
+            top = max(scores)
+            assert index.best(q, cutoff) == ((scores.index(top), pytest.approx(top)) if top >= cutoff else None)
+
+
+def test_best_clear_equals_brute_force(spark, monkeypatch):
+    rnd = random.Random(9)
+    texts = sorted({_words(rnd) for _ in range(60)})
+    queries = sorted({_words(rnd) for _ in range(40)} | {"", "idamur"})
+    monkeypatch.setattr(fuzzy_match, "BLOCK", 17)
+    a, b = (spark.createDataFrame([(t,) for t in ts] + [(None,)], "t string") for ts in (queries, texts))
+    want = {}
+    for q in queries:
+        near = sorted((-jaro_winkler(q, t), t) for t in texts if jaro_winkler(q, t) >= 0.85)
+        if near and (len(near) == 1 or near[1][0] - near[0][0] >= 0.02):
+            want[q] = near[0][1]
+    assert {r.text: r.match for r in fuzzy_match.best_clear(a, b).collect()} == want and want
+    best = {r.text: (r.match, r.score) for r in fuzzy_match.best_match(a, b, 60).collect()}
+    for q in queries:
+        top = max(token_set(q, t) for t in texts)
+        assert best.get(q) == ((min(t for t in texts if token_set(q, t) == top), pytest.approx(top)) if top >= 60 else None)
 
 
 def test_compilation_equals_brute_force(spark):
     shelf = ["warp sampler vol 2", "now thats music", "blues roots"]
-    titles = ["warp sampler", "music now thats", "rock roots", "warp sampler vol 2", ""]
+    titles = ["warp sampler", "music now thats", "rock roots", "warp sampler vol 2", "", "bluez roots"]
     lib = spark.createDataFrame([("Various", t) for t in shelf], "artist string, title string")
     index = classify.library_index(lib, "artist", "title")
     got = {r.id: r["class"] for r in classify.compilation(spark.createDataFrame(list(enumerate(titles)), "id int, title string"), index).collect()}
     assert got == {i: "keep" if t in shelf or max(token_set(t, x) for x in shelf) >= 80 else "prune" for i, t in enumerate(titles)}
 
 
+def test_two_stage_equals_brute_force(spark):
+    index = _index(spark)
+    artists, pairs = sorted(r.artist for r in index["artists"].collect()), [(r.artist, r.title) for r in index["pairs"].collect()]
+    combined = [r.text for r in index["combined"].collect()]
+    asked = [("ida mur trio", "pale ferry"), ("nils eck", "long winter"), ("u2", "zzz"), ("kip lor", "echo echo"), ("ferry", "long winter"), ("bo lind", "amber")]
+    got = {(r.artist, r.title): r for r in classify.pair_scores(spark.createDataFrame(asked, "artist string, title string"), index).collect()}
+    for artist, title in asked:
+        score = max(token_set(artist, a) for a in artists)
+        best = next(a for a in artists if token_set(artist, a) == score)
+        two = (score * max(token_set(title, t) for a, t in pairs if a == best)) ** 0.5 / 100 if score >= 70 else 0.0
+        text = f"{artist} ||| {title}"
+        r = got[(artist, title)]
+        assert r.two_stage == pytest.approx(two) and r.token_set == pytest.approx(max(token_set(text, c) for c in combined) / 100) and r.token_sort == pytest.approx(max(token_sort(text, c) for c in combined) / 100)
+    rows = spark.createDataFrame([(i, a, t) for i, (a, t) in enumerate(asked)], "id int, artist string, title string")
+    for r in classify.fuzzy_artist(rows, index).collect():
+        artist, title = asked[r.id]
+        score = max(token_set(artist, a) for a in artists)
+        best = next(a for a in artists if token_set(artist, a) == score)
+        both = (score * max(token_set(title, t) for a, t in pairs if a == best)) ** 0.5 / 100 if score >= 60 else 0.0
+        assert r["class"] == ("keep" if (best, title) in pairs and score >= 60 else "keep" if both >= 0.75 else "review" if both >= 0.65 else "prune")
+
+
+@pytest.mark.parametrize("artist,combined,variant,want", [
+    (0.59, 0.9, False, "no_artist_match"), (0.6, 0.65, True, "near_keep_threshold"), (0.6, 0.749, False, "near_keep_threshold"), (0.9, 0.75, False, "scores_above_keep_on_rescore"),
+    (0.9, 0.75, True, "substring_variant"), (0.9, 0.5, True, "substring_variant"), (0.9, 0.6, False, "weak_match"), (None, None, False, "empty_library"),
+])
+def test_audit_outcomes(spark, artist, combined, variant, want):
+    c = lambda x: F.lit(x).cast("double")
+    assert spark.range(1).select(classify.fuzzy_outcome(c(artist), c(combined), F.lit(variant)).alias("o")).first().o == want
+
+
+def test_audit(spark):
+    rows = [(1, "Ida Mur", "Pale Ferry"), (2, "Ida Mur", "Zzz"), (3, "Ida Mur", "Pale Ferry Again"), (4, "Qqq", "Zzz"), (5, "Nils Ekström", "Zzz"), (6, None, None)]
+    got = {r.id: (r.phase, r.mechanism) for r in classify.audit(spark.createDataFrame(rows, "id int, artist_name string, title_text string"), _index(spark)).collect()}
+    assert got[1] == ("exact", "format_mismatch") and got[2] == ("exact", "title_miss") and got[3] == ("exact", "exact_artist_title_above_keep_on_rescore") and got[4] == ("fuzzy", "no_artist_match") and len(got) == 6
+    assert got[5] == ("fuzzy", "substring_variant")
+    empty = classify.miss_rate(spark.createDataFrame([], "call string")).first()
+    assert (empty.sample_size, empty.rate, empty.low, empty.high) == (0, 0.0, 0.0, 0.0)
+
+
 def test_similarity_join_loses_nothing(spark):
     left, right = ["harbor records", "river audio", "x", "north tapes"], ["harbour records", "records of harbor", "river audios", "xy", "tapes north"]
     a, b = (spark.createDataFrame([(t,) for t in ts], f"{c} string") for ts, c in ((left, "l"), (right, "r")))
@@ -63,9 +173,10 @@ def test_similarity_join_loses_nothing(spark):
 
 
 def test_resolver(spark):
-    rows = [("n1", "A", "t1", 0.9), ("n2", "A", "t1", 0.5), ("n2", "B", "t1", 0.45), ("n3", "A", "t1", 0.3), ("n4", "A", "t1", 0.3), ("n4", "A", "t2", 0.2)]
-    got = classify.resolve_collisions(spark.createDataFrame(rows, "name string, artist string, title string, score double")).collect()
-    assert {r.name: r.status for r in got} == {"n1": "RESOLVED", "n2": "AMBIGUOUS", "n3": "UNRESOLVED", "n4": "RESOLVED"}
+    rows = [("n1", 7, 1, 0.95), ("n1", 8, 2, 0.90), ("n2", 7, 1, 0.5), ("n2", 8, 2, 0.45), ("n3", 7, 1, 0.3), ("n4", 7, 1, 0.3), ("n4", 7, 2, 0.2), ("n4", 8, 3, 0.5), ("n5", 7, 1, 0.55)]
+    names = spark.createDataFrame([(f"n{i}",) for i in range(1, 7)], "name string")
+    got = {r.name: (r.status, r.artist_id, r.hits) for r in classify.resolve_collisions(names, spark.createDataFrame(rows, "name string, artist_id int, release_id int, score double")).collect()}
+    assert got == {"n1": ("RESOLVED", 7, 1), "n2": ("AMBIGUOUS", 7, 1), "n3": ("UNRESOLVED", 7, 1), "n4": ("RESOLVED", 7, 2), "n5": ("RESOLVED", 7, 1), "n6": ("UNRESOLVED", None, 0)}
 
 
 def test_filter_reaches_the_scan(spark):

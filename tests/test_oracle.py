@@ -3,10 +3,10 @@
 import pytest
 from conftest import SF
 
-from crateflow.plans import catalog, data_problems
+from crateflow.plans import catalog, data_problems, loads
 
-QUERIES = catalog.QUERIES | data_problems.QUERIES
-ORACLE = catalog.ORACLE | data_problems.ORACLE
+QUERIES = catalog.QUERIES | loads.QUERIES | data_problems.QUERIES
+ORACLE = catalog.ORACLE | loads.ORACLE | data_problems.ORACLE
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -88,3 +88,20 @@ def test_typed_rows_and_repeats(spark):
 def test_empty(spark, rows):
     df = spark.createDataFrame(rows, "line_id long, csv_file string, raw_line string")
     assert parse_records(df, "line_id", "raw_line", "csv_file").count() == 0
+
+
+def test_slices_change_nothing(spark, monkeypatch):
+    from crateflow.operators import record_parse
+
+    rows = [(i, "release_track.csv", r) for i, r in enumerate(["1,2,,T,", '1,2,,"' + "x" * 300 + '",3:00', None, '1,2,,"a', "x" * 90 + ",1,,T,", '1,2,,"a""b",9:61'])]
+    df = spark.createDataFrame(rows, "line_id long, csv_file string, raw_line string").coalesce(1)
+    whole = record_parse.parse_records(df, "line_id", "raw_line", "csv_file").collect()
+    monkeypatch.setattr(record_parse, "SLICE_BYTES", 100)
+    assert record_parse.parse_records(df, "line_id", "raw_line", "csv_file").collect() == whole
+    assert [b.num_rows for b in record_parse._slices(pa_batch(["a" * 50, "b" * 60, None, "c" * 500, "d"]), "r", 100)] == [1, 2, 1, 1]
+
+
+def pa_batch(texts):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(texts)], names=["r"])
