@@ -8,15 +8,17 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_HELD = ""
+def unescape(c: Column) -> Column:
+    """Backslash escapes for backslash, tab, line feed and NUL, read left to right, each in one sense: the text is split at escaped backslashes, which
+    are put back once the other escapes are undone."""
+    out = F.transform(F.split(c, "\\\\\\\\"), _undone)
+    return F.array_join(out, "\\")
 
 
-def unescape(c: Column) -> Column:
-    """Backslash escapes for backslash, tab, line feed and NUL, read left to right in one sense: an escaped backslash is set aside first."""
-    held = F.replace(c, F.lit("\\\\"), F.lit(_HELD))
+def _undone(part: Column) -> Column:
     for sign, real in (("\\t", "\t"), ("\\n", "\n"), ("\\0", "\u0000")):
-        held = F.replace(held, F.lit(sign), F.lit(real))
-    return F.replace(held, F.lit(_HELD), F.lit("\\"))
+        part = F.replace(part, F.lit(sign), F.lit(real))
+    return part
 
 
 def escape(c: Column) -> Column:

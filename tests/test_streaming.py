@@ -19,10 +19,13 @@ def test_first_wins_and_windows(spark, tmp_path):
 
 
 def test_upsert_sink_is_idempotent(spark, tmp_path):
-    sink = ingest.upsert_sink(str(tmp_path / "out"), "id", "n")
-    a = spark.createDataFrame([(1, 1), (2, 1)], "id int, n int")
-    b = spark.createDataFrame([(1, 2)], "id int, n int")
-    sink(a, 0)
-    sink(b, 1)
-    sink(b, 1)
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out/v1")).collect())) == [(1, 2), (2, 1)]
+    out = str(tmp_path / "out")
+    sink = ingest.upsert_sink(out, "id", "n", 4)
+    rows = lambda *x: spark.createDataFrame(list(x), "id int, n int")
+    sink(rows((1, 1), (2, 1), (3, 1), (4, 1)), 0)
+    sink(rows((1, 2), (9, 1)), 1)
+    sink(rows((1, 2), (9, 1)), 1)
+    sink(rows((2, 0)), 2)
+    assert sorted(map(tuple, ingest.latest_rows(spark, out).collect())) == [(1, 2), (2, 1), (3, 1), (4, 1), (9, 1)]
+    # Only the buckets of the keys that came are written again.
+    assert len(list((tmp_path / "out/v=2").glob("bucket=*"))) == 1
