@@ -13,19 +13,28 @@ from crateflow.session import cut_lineage, spread
 
 
 def distance(a: str, b: str) -> int:
-    """Edits between two words: letters put in, left out, replaced, or swapped with their neighbour."""
+    """Edits between two words: letters put in, left out, replaced, or swapped with their neighbour.
+
+    Bit-parallel: the differences between neighbouring cells of a column are the bits of two integers, one step a letter of ``b``.
+    """
     if a == b:
         return 0
-    before, row = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            cost = min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y))
-            if before is not None and i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                cost = min(cost, before[j - 2] + 1)
-            new.append(cost)
-        before, row = row, new
-    return row[-1]
+    if not a or not b:
+        return len(a) or len(b)
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full, last = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, diagonal, before, score = full, 0, 0, 0, len(a)
+    for c in b:
+        equal = places.get(c, 0)
+        swapped = ((~diagonal & equal) << 1) & before
+        diagonal = ((((equal & up) + up) ^ up) | equal | down | swapped) & full
+        grown, shrunk = down | (full & ~(diagonal | up)), diagonal & up
+        score += (grown & last > 0) - (shrunk & last > 0)
+        grown, shrunk = (grown << 1 | 1) & full, (shrunk << 1) & full
+        up, down, before = shrunk | (full & ~(diagonal | grown)), grown & diagonal, equal
+    return score
 
 
 def _shortened(words: Column) -> Column:

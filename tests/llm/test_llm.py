@@ -324,6 +324,22 @@ def test_no_names(spark):
     assert name_variants.spelling_pairs(name_variants.name_entities(name_variants.name_keys(df, ["a"]))).count() == 0
 
 
+def _distance_by_table(a, b):
+    d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
+
+
+@given(st.text("abcd", max_size=12), st.text("abcd", max_size=12))
+@settings(max_examples=400, deadline=None)
+def test_distance(a, b):
+    assert word_slips.distance(a, b) == _distance_by_table(a, b)
+
+
 @given(st.text("abc", max_size=6), st.text("abc", max_size=6))
 @settings(max_examples=100, deadline=None)
 def test_one_edit(a, b):
