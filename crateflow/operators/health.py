@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,30 @@ def set_summary(flags: DataFrame) -> DataFrame:
     """Counts of the set algebra over (id, keep, override, prune) flags: overlap, gains and losses."""
     both = F.col("keep") & F.col("override")
     return flags.agg(F.count_if("keep").alias("keep"), F.count_if(both).alias("keep_and_override"), F.count_if(F.col("keep") & ~F.col("override")).alias("keep_only"), F.count_if(F.col("prune") & F.col("override")).alias("pruned_overrides"))
+
+
+def table_sizes(tables: dict[str, DataFrame], deletable: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(table_name, n, bytes, deletable): rows, the bytes of the files behind them, and how many of the rows a deletion would take. File sizes come from the files'
+    own metadata; a table that isn't read from files has none."""
+    out = None
+    for name, t in tables.items():
+        rows = t.agg(F.count("*").alias("n"))
+        try:
+            files = t.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct().agg(F.sum("s").alias("bytes"))
+        except AnalysisException:
+            files = t.sparkSession.createDataFrame([(None,)], "bytes bigint")
+        gone = (deletable or {}).get(name)
+        lost = t.sparkSession.createDataFrame([(0,)], "deletable bigint") if gone is None else gone.agg(F.count("*").alias("deletable"))
+        row = rows.join(F.broadcast(files)).join(F.broadcast(lost)).select(F.lit(name).alias("table_name"), "n", F.coalesce("bytes", F.lit(0)).alias("bytes"), "deletable")  # one row each
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def override_verdict(summary: DataFrame) -> DataFrame:
+    """(sources, missing, ok): whether no source of overrides lacks a release; no sources pass."""
+    return summary.agg(F.count("*").alias("sources"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"), F.coalesce(F.bool_and(F.col("missing") == 0), F.lit(True)).alias("ok"))
+
+
+def tally(df: DataFrame, column: str, unnamed: str = "(unlabelled)") -> DataFrame:
+    """(column, n): how many rows have each value, null and empty as ``unnamed``; values needn't be known before."""
+    return df.groupBy(F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit(unnamed)).alias(column)).agg(F.count("*").alias("n"))

@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crateflow.functions import formats, mojibake, normalize, similarity, stats, trigram, unaccent
-from crateflow.operators import classify, loads, search, tables
+from crateflow.operators import classify, health, loads, search, tables
 from crateflow.operators.record_parse import parse_records
+from crateflow.plans.catalog import ORACLE as CATALOG_SQL
+from crateflow.plans.catalog import QUERIES as CATALOG
 from crateflow.plans.catalog import _sql_artist, _sql_similarity, _sql_title
+from crateflow.sources.csv_tables import SPECS, one_line, scan
+from crateflow.sources.exchange import filter_export
 from crateflow.sources.tables import table
+from crateflow.sources.text_rows import escape, parse_tsv
 
 QUERIES = {}
 ORACLE = {}
@@ -141,6 +146,59 @@ def dedup_historic(s, d):
     return r.select("id", F.row_number().over(Window.partitionBy("master_id").orderBy(F.desc("track_count"), "id")).alias("rank"))
 
 
+# --- reports ------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT 'releases' AS table_name, count(*) AS n, count(*) FILTER (WHERE format = 'CD') AS deletable FROM releases UNION ALL SELECT 'release_track', count(*), count(*) FILTER (WHERE release_id IN (SELECT id FROM releases WHERE format = 'CD')) FROM release_track")
+def table_size_report(s, d):
+    r, t = table(s, d, "releases"), table(s, d, "release_track")
+    cds = r.where("format = 'CD'")
+    return health.table_sizes({"releases": r, "release_track": t}, {"releases": cds, "release_track": tables.keep_ids(t, "release_id", cds)}).where("bytes > 0").drop("bytes")
+
+
+@query("SELECT count(*) AS sources, coalesce(sum(missing), 0)::BIGINT AS missing, coalesce(bool_and(missing = 0), true) AS ok FROM (SELECT l.label_name, count(DISTINCT l.release_id) FILTER (WHERE r.id IS NULL) AS missing FROM release_label l LEFT JOIN (SELECT id FROM releases WHERE format = 'CD') r ON r.id = l.release_id GROUP BY 1)")
+def override_verdict(s, d):
+    return health.override_verdict(health.override_summary(table(s, d, "release_label").withColumnRenamed("label_name", "source"), table(s, d, "releases").where("format = 'CD'")))
+
+
+@query(f"SELECT outcome, count(*) AS n FROM ({CATALOG_SQL['fffd_repair']}) GROUP BY 1")
+def repair_reasons(s, d):
+    return health.tally(CATALOG["fffd_repair"](s, d), "outcome")
+
+
+@query(f"SELECT status, count(*) AS n FROM ({CATALOG_SQL['collision_resolve']}) GROUP BY 1")
+def collision_statuses(s, d):
+    return health.tally(CATALOG["collision_resolve"](s, d), "status")
+
+
+@query("SELECT release_id, nullif(label_id::VARCHAR, '') AS label_id, label_name, nullif(catno, '') AS catno FROM release_label WHERE release_id IS NOT NULL AND coalesce(label_name, '') <> ''")
+def csv_scan(s, d):
+    # The table as its file would hold it: texts, nulls as empty, with a NUL that the scan takes out.
+    t = table(s, d, "release_label")
+    text = lambda c: F.concat(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("\0"))
+    raw = t.select(F.coalesce(F.col("release_id").cast("string"), F.lit("x")).alias("release_id"), text("label_id").alias("label_id"), text("label_name").alias("label"), text("catno").alias("catno"))
+    return scan(raw, SPECS["release_label"])
+
+
+@query("SELECT id, nullif(replace(title, chr(13), ''), '') AS title, nullif(replace(notes, chr(13), ''), '') AS notes FROM releases")
+def tsv_round_trip(s, d):
+    r = table(s, d, "releases").select(F.col("id").cast("string"), "title", "notes")
+    lines = r.select(F.concat_ws("\t", *[escape(F.col(c)) for c in r.columns]).alias("value"))
+    return parse_tsv(lines, ["id", "title", "notes"], ("id",))
+
+
+@query("SELECT id, replace(replace(notes, chr(13), ''), chr(10), ' ') AS line FROM releases")
+def one_line_texts(s, d):
+    return table(s, d, "releases").select("id", one_line(F.col("notes")).alias("line"))
+
+
+@query("SELECT release_id, sequence, title FROM release_track WHERE release_id IN (SELECT id FROM releases WHERE format = 'CD')")
+def filtered_export(s, d):
+    raw = table(s, d, "release_track").select(*[F.col(c).cast("string").alias(c) for c in ("release_id", "sequence", "title")])
+    kept = filter_export(raw, table(s, d, "releases").where("format = 'CD'").select("id"))
+    return kept.select(F.col("release_id").cast("int").alias("release_id"), F.col("sequence").cast("int").alias("sequence"), "title")
+
+
 # --- small functions ----------------------------------------------------------------------------------------------------
 
 

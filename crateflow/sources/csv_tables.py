@@ -128,9 +128,14 @@ def scan(raw: DataFrame, spec: TableSpec) -> DataFrame:
     return rows
 
 
+def one_line(c: Column) -> Column:
+    """The text without line breaks: line feeds become spaces, carriage returns go."""
+    return F.replace(F.translate(c, "\r", ""), F.lit("\n"), F.lit(" "))
+
+
 def write_fixed_lines(df: DataFrame, path: str) -> None:
-    """CSV without line breaks inside fields: line feeds become spaces, carriage returns go."""
-    flat = df.select(*[F.replace(F.translate(F.col(c).cast("string"), "\r", ""), F.lit("\n"), F.lit(" ")).alias(c) for c in df.columns])
+    """CSV without line breaks inside fields."""
+    flat = df.select(*[one_line(F.col(c).cast("string")).alias(c) for c in df.columns])
     flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
