@@ -12,17 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crateflow.functions.identity import LOOK_ALIKES
 from crateflow.session import cut_lineage, spread
 
-# Letters of other scripts that have the shape of a Latin letter, and that letter.
-LOOK_ALIKES = (
-    "аa еe оo рp сc уy хx іi јj ѕs һh ԁd ԛq ԝw ѵv ӏl ԍg ҽe "
-    "АA ВB ЕE КK МM НH ОO РP СC ТT УY ХX ІI ЈJ ЅS ҺH ԌG ԚQ ԜW ѴV ӀI "
-    "οo ρp νv ιı κĸ ϲc ϳj αa υu "
-    "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ϹC ϺM "
-    "օo ոn սu հh զq ցg ՏS ՕO ԼL "
-    "ɡg ɑa ‐- ‑-"
-)
 _PREPENDED = frozenset(map(chr, [*range(0x600, 0x606), 0x6DD, 0x70F, 0x890, 0x891, 0x8E2, 0x110BD, 0x110CD]))
 _FILLERS = frozenset("͏ᅟᅠㅤﾠ")
 _DIGRAPH_START = 0x132

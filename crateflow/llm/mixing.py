@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import warnings
 from collections.abc import Iterator
 from functools import cache
 
@@ -15,6 +16,8 @@ from crateflow.session import cut_lineage
 
 #: Sources that a mix may list: their totals are a table of one row each.
 MOST_SOURCES = 100_000
+#: Share of the listed tokens below which a mix with exact shares warns that one source is too scarce.
+LEAST_USED = 0.1
 
 
 @cache
@@ -45,7 +48,8 @@ def repetition_rates(counts: DataFrame, targets: DataFrame, relative_size: float
 
     The rate, copies per document, never exceeds ``max_repeats``. Without ``relative_size`` the mix is as large as it can be with
     every target share met exactly: the source that is scarcest for its share is used ``max_repeats`` times and sets the
-    size. With it, the mix aims at that multiple of the listed sources' tokens: each source gets its share of the total as far as its cap allows, and what capped sources lack goes to the
+    size of all others too, so a source that is all but empty shrinks the mix to next to nothing; a warning names it where less than
+    ``LEAST_USED`` of the listed tokens are used. With it, the mix aims at that multiple of the listed sources' tokens: each source gets its share of the total as far as its cap allows, and what capped sources lack goes to the
     others in proportion to their targets, again within their caps. Listed sources without tokens get the rate 0 and
     the others share the mix; sources that aren't listed don't take part. Target shares are scaled to sum to 1; a source
     listed twice takes its first row by cap.
@@ -68,7 +72,9 @@ def _rates(rows: list[tuple[str, float, int, float]], relative_size: float | Non
     if not live:
         return rates
     if relative_size is None:
-        size = min(cap * tokens / (share / weight) for _, share, cap, tokens in live)
+        size, scarce = min((cap * tokens / (share / weight), source) for source, share, cap, tokens in live)
+        if size < LEAST_USED * sum(r[3] for r in live):
+            warnings.warn(f"the source {scarce!r} is so scarce for its share that the mix has {size:.0f} tokens only; relative_size asks for a size instead", stacklevel=2)
         return rates | {source: min(float(cap), share / weight * size / tokens) for source, share, cap, tokens in live}
     left = relative_size * sum(r[3] for r in live)
     while live:

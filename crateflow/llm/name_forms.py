@@ -7,6 +7,7 @@ import unicodedata
 from dataclasses import dataclass
 from itertools import combinations, product
 
+from crateflow.functions.identity import BASE_LETTERS
 from crateflow.llm.canonical_text import transducer
 
 # Given names and their short forms.
@@ -34,8 +35,7 @@ for _full, _shorts in NICKNAMES.items():
     for _s in _shorts.split():
         _SHORT.setdefault(_s, []).append(_full)
 
-# Letters that have no decomposition, by their base letters.
-_BASE = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "æ": "ae", "œ": "oe", "ħ": "h", "ı": "i", "ŧ": "t"})
+_BASE = str.maketrans(BASE_LETTERS)
 # Written-short words of ensembles and companies.
 SHORT_WORDS = {
     "bros": "brothers", "intl": "international", "orch": "orchestra", "ens": "ensemble", "ch": "chamber", "str": "string", "qt": "quartet", "qrt": "quartet", "quart": "quartet",

@@ -491,6 +491,8 @@ def test_rates():
     assert exact["c"] == 0 and exact["b"] == pytest.approx(4) and exact["a"] * 1000 / (exact["a"] * 1000 + 400) == pytest.approx(0.5 / 0.8)
     capped = mixing._rates(rows, 5.0)
     assert capped == {"a": 1.0, "b": 4.0, "c": 0.0}
+    with pytest.warns(UserWarning, match="'c'"):
+        mixing._rates([("a", 0.5, 1, 1e6), ("b", 0.4999, 1, 1e6), ("c", 0.0001, 1, 10.0)], None)
     assert mixing._rates([], None) == {} and mixing._rates([("a", 1.0, 2, 0.0)], None) == {"a": 0.0}
 
 
