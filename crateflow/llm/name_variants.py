@@ -70,7 +70,7 @@ def name_links(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     A link's score is the rarity of the rarest rewriting that both keys have: 1 where only the two have it, towards 0 where all
     keys do (1 - ln(n - 1) / ln(keys)).
     """
-    keys = names.select("key").distinct()
+    keys = cut_lineage(names.select("key").distinct())
     forms = spread(keys, "key").mapInPandas(_forms, "key string, kind string, form string").unionByName(_slip_forms(keys))
     forms = cut_lineage(forms.withColumn("form", F.xxhash64("form")).distinct())
     words = keys.select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
@@ -118,7 +118,8 @@ def name_entities(names: DataFrame) -> DataFrame:
     the rewriting if its rarity, 1 / (number of artists offering it), exceeds ``LEAST_RARITY``. Ties therefore link nothing.
     ``score`` is the greatest rarity by which the key was linked, 1 for a key that stands alone.
     """
-    keys = cut_lineage(names.select("key").distinct())
+    names = cut_lineage(names)  # parsed once
+    keys = names.select("key").distinct()
     links, forms = name_links(names)
     found = components(links.select("a", "b"))
     best = links.select(F.explode(F.array("a", "b")).alias("key"), "score")

@@ -68,3 +68,10 @@ def slips(vocabulary: DataFrame, established: int, least_ratio: float, shortest:
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "edits"))
     own, other = words.select(F.col("word").alias("a"), F.col("uses").alias("_own")), words.select(F.col("word").alias("b"), "uses")
     return both.join(own, "a").join(other, "b").where("uses >= _own").select(F.col("a").alias("word"), F.col("b").alias("meant"), "uses", "edits")
+
+
+def established(vocabulary: DataFrame, slipped: DataFrame, least: int, least_ratio: float) -> DataFrame:
+    """(word, uses): the words of ``least`` uses or more that aren't slips of a word used more than 1 / ``least_ratio`` times as often: two frequent slips of one word
+    aren't two words."""
+    doubtful = slipped.join(vocabulary.select("word", F.col("uses").alias("_own")), "word").where(F.col("_own") < least_ratio * F.col("uses")).select("word").distinct()
+    return vocabulary.where(F.col("uses") >= least).join(doubtful, "word", "left_anti").select("word", "uses")
