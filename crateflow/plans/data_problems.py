@@ -96,6 +96,17 @@ judged AS (SELECT *,
     OR NOT (f[5] = '' OR regexp_full_match(f[5], '[0-9]+:[0-5][0-9](:[0-5][0-9])?') AND (regexp_full_match(f[5], '[0-9]+:[0-5][0-9](:[0-5][0-9])?')))) THEN 'value' END AS reason
   FROM sized)"""
 
+_INT_SQL = "coalesce(regexp_full_match({x}, '[+-]?[0-9]+') AND try_cast({x} AS INTEGER) IS NOT NULL, false)"
+# A record breaks the quoting rule after the longest beginning that a record may have.
+_ERRORS_SQL = rf"""
+WITH {_PARSED_SQL}, placed AS (SELECT *, CASE reason WHEN 'quoting' THEN strlen(regexp_extract(line, '^(?:{_FIELD},)*(?:"(?:[^"]|"")*"?|[^",\n\r]*)')) WHEN 'columns' THEN len(f)
+  WHEN 'value' THEN CASE WHEN NOT {_INT_SQL.format(x='f[1]')} THEN 0
+    WHEN csv_file = 'release.csv' THEN CASE WHEN f[3] = '' THEN 2 WHEN NOT (f[8] = '' OR {_INT_SQL.format(x='f[8]')}) AND (f[5] IN ('', 'Unknown') OR regexp_full_match(f[5], '[0-9]{{4}}(-(0[1-9]|1[0-2]))?|[0-9]{{4}}-00-00|[0-9]{{4}}-(0[1-9]|1[0-2])-00')
+      OR (regexp_full_match(f[5], '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND try_cast(f[5] AS DATE) IS NOT NULL)) THEN 7 ELSE 4 END
+    ELSE CASE WHEN NOT {_INT_SQL.format(x='f[2]')} THEN 1 WHEN f[4] = '' THEN 3 ELSE 4 END END END AS error_at FROM judged WHERE reason IS NOT NULL)
+SELECT line_id, csv_file, reason, error_at::BIGINT AS error_at, CASE WHEN reason = 'value' THEN CASE csv_file WHEN 'release.csv' THEN ['id', 'status', 'title', 'country', 'released', 'notes', 'data_quality', 'master_id', 'format'][error_at + 1]
+  ELSE ['release_id', 'sequence', 'position', 'title', 'duration'][error_at + 1] END END AS error_field FROM placed"""
+
 _EDGES_SQL = """
 e AS (SELECT label_id AS c, min(parent_label_id) AS p FROM label_hierarchy WHERE label_id IS NOT NULL AND parent_label_id IS NOT NULL GROUP BY 1),
 ids AS (SELECT label_id AS id FROM label_hierarchy WHERE label_id IS NOT NULL UNION SELECT parent_label_id FROM label_hierarchy WHERE parent_label_id IS NOT NULL),
@@ -117,6 +128,7 @@ ORACLE = {
     "p2_found": f"WITH {_PARSED_SQL} SELECT line_id, reason FROM judged WHERE reason IS NOT NULL",
     "p2_releases": f"WITH {_PARSED_SQL} SELECT line_id, try_cast(f[1] AS INTEGER) AS id, nullif(f[2], '') AS status, f[3] AS title, nullif(f[4], '') AS country, nullif(f[5], '') AS released, nullif(f[6], '') AS notes, nullif(f[7], '') AS data_quality, try_cast(f[8] AS INTEGER) AS master_id, nullif(f[9], '') AS format FROM judged WHERE reason IS NULL AND csv_file = 'release.csv'",
     "p2_tracks": f"WITH {_PARSED_SQL} SELECT line_id, try_cast(f[1] AS INTEGER) AS release_id, try_cast(f[2] AS INTEGER) AS sequence, nullif(f[3], '') AS position, f[4] AS title, nullif(f[5], '') AS duration FROM judged WHERE reason IS NULL AND csv_file = 'release_track.csv'",
+    "p2_errors": _ERRORS_SQL,
     "p3_found": f"WITH RECURSIVE {_EDGES_SQL} SELECT id AS label_id, root AS root_label_id, depth FROM allrows",
     "p3_paths": f"WITH RECURSIVE {_EDGES_SQL} SELECT id::BIGINT AS label_id, root::BIGINT AS root_label_id, depth, path FROM allrows",
     "p3_descendants": f"""WITH RECURSIVE {_EDGES_SQL}, below AS (SELECT c AS id, p AS a, 1 AS distance FROM e WHERE c IN (SELECT id FROM down)
