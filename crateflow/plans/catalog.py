@@ -479,7 +479,14 @@ def audit_mechanisms(s, d):
     return classify.miss_mechanisms(_audited(s, d))
 
 
-@query(f"SELECT DISTINCT c.release_id AS id FROM release_artist c JOIN releases r ON r.id = c.release_id JOIN library l ON {_sql_title('l.title')} = {_sql_title('r.title')} AND ({_sql_artist('l.artist')} = {_sql_artist('c.artist_name')} OR {_sql_artist('l.alternate_artist_name')} = {_sql_artist('c.artist_name')}) WHERE c.extra = 0")
+@query(rf"""WITH {_ARTISTS_SQL}, l AS (SELECT artist, alternate_artist_name AS other, {_sql_title('title')} AS t FROM library WHERE coalesce(artist, '') <> '' AND coalesce(title, '') <> '' AND NOT {_sql_compilation('artist')}),
+  cut AS (SELECT artist, t, list_transform(regexp_split_to_array(artist, ',\s+|\s+/\s+|\s+\+\s+'), lambda x: trim(x)) AS p FROM l),
+  fine AS (SELECT *, len(p) > 1 AND len(list_filter(p, lambda x: regexp_full_match(x, '\d+') OR length(x) < 2)) = 0 AS apart FROM cut),
+  part AS (SELECT artist, t, apart, unnest(CASE WHEN apart THEN p WHEN contains(artist, ' & ') THEN list_filter(list_transform(string_split(artist, ' & '), lambda x: trim(x)), lambda x: x <> '') ELSE [] END) AS x FROM fine),
+  named AS (SELECT artist, t, apart, {_sql_artist('x')} AS a FROM part),
+  pairs AS (SELECT {_sql_artist('artist')} AS a, t FROM l UNION SELECT {_sql_artist('other')}, t FROM l WHERE coalesce(other, '') <> '' AND NOT {_sql_compilation('other')}
+    UNION SELECT a, t FROM named n WHERE apart OR EXISTS (FROM named m WHERE m.artist = n.artist AND m.a IN (SELECT artist FROM arts)))
+  SELECT DISTINCT c.release_id AS id FROM release_artist c JOIN releases r ON r.id = c.release_id JOIN pairs p ON p.a = {_sql_artist('c.artist_name')} AND p.t = {_sql_title('r.title')} WHERE c.extra = 0 AND p.a <> ''""")
 def exact_pairs(s, d):
     rows = _release_pairs(s, d).select("id", normalize.match_artist(F.col("artist_name")).alias("artist"), normalize.match_title(F.col("title_text")).alias("title"))
     return rows.join(_index(s, d)["pairs"], ["artist", "title"], "left_semi").select("id").distinct()
