@@ -1,4 +1,4 @@
-"""Every query of the library against SQL; those that SQL can't express run and give rows of a stable schema."""
+"""Every query of the library against SQL; those that SQL can't express run and give rows; their operators have tests of their own."""
 
 import pytest
 from conftest import SF
@@ -17,4 +17,5 @@ def test_equals_sql(name, same_as_sql):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_runs(name, spark):
     df = QUERIES[name](spark, SF)
-    assert df.columns and df.count() >= 0
+    # On the smallest tables no release is for review.
+    assert df.columns and (df.count() > 0 or name == "review_report")
