@@ -63,7 +63,7 @@ def test_common_subsequence(a, b):
 def test_token_ratios():
     assert token_sort("new york mets", "mets york new") == 100
     assert token_set("mets", "new york mets") == 100 and token_set("", "x") == 0
-    assert round(jaro_winkler("martha", "marhta"), 4) == 0.9611 and round(jaro_winkler("stereolab", "stereo lab"), 2) == 0.98
+    assert round(jaro_winkler("martha", "marhta"), 4) == 0.9611 and round(jaro_winkler("velvetlab", "velvet lab"), 2) == 0.98
 
 
 def test_damage():
