@@ -1,6 +1,7 @@
 """The training-data operators against brute force, exact round trips and small cases."""
 
 import random
+import tracemalloc
 import unicodedata
 from datetime import datetime
 
@@ -161,6 +162,24 @@ def test_constraint_lowers_in_each_step():
     assert len(calls) > 1 and held.share < free.share
 
 
+def test_all_vectors_fit_in_the_driver():
+    # All vectors that can occur: a table of their pairs in doubles has 1.9 GB.
+    x, weight = entity_match.unpack(np.arange(entity_match.VECTORS)), np.ones(entity_match.VECTORS)
+    tracemalloc.start()
+    odds = entity_match.fit(x, weight, lambda p: np.zeros(len(p))).odds
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 and np.isfinite(odds).all()
+
+
+def test_below_equals_brute_force():
+    rnd = np.random.default_rng(3)
+    x, y = (np.rint(rnd.random((n, 3)) * (4, 2, 1)) / (4, 2, 1) for n in (12, 40))
+    values, below = rnd.normal(size=len(x)), entity_match.Below(x)
+    want = lambda of: [max((v for v, r in zip(values, x) if (q >= r).all()), default=-np.inf) for q in of]
+    assert below.greatest(values).tolist() == want(x) and below.greatest(values, y).tolist() == want(y)
+
+
 def test_vectors_pack():
     x = np.array([[1, 1, 1, 1, 1], [0, 0, 0, 0, 0], [0.35, 0.7, 0.5, 1, 0.3]])
     assert np.allclose(entity_match.unpack(entity_match.pack(x)), x) and entity_match.pack(x)[0] == entity_match.VECTORS - 1
