@@ -91,6 +91,44 @@ def test_best_match_equals_brute_force(scorer, ratio):
             assert index.best(q, cutoff) == ((scores.index(top), pytest.approx(top)) if top >= cutoff else None)
 
 
+def _random_texts(rnd, n, least=1, most=5):
+    """Made-up texts of made-up words, with rare letters, repeats and long texts."""
+    words = ["".join(rnd.choice("abcdeilmnorstuéжß") for _ in range(rnd.randrange(1, 9))) for _ in range(60)] + [chr(0x4E00 + k) for k in range(60)]
+    return sorted({" ".join(rnd.choice(words) for _ in range(rnd.randrange(least, most if rnd.random() < 0.9 else 25))) + rnd.choice(["", " |||"]) for _ in range(n)})
+
+
+@pytest.mark.parametrize("scorer,ratio", [("set", token_set), ("sort", token_sort)])
+@pytest.mark.parametrize("common", [False, True])
+def test_searches_for_many_at_once(scorer, ratio, common):
+    # Pairs of texts of up to 64 letters are scored in one step, none by itself.
+    rnd = random.Random(11)
+    texts = _random_texts(rnd, 1200)
+    texts = sorted({t.removesuffix(" |||") + " |||" for t in texts}) if common else ["", *texts]
+    index, asked = fuzzy_match.Candidates(texts, scorer), [*_random_texts(rnd, 60), "", " |||", *texts[::200]]
+    single, of = [], index._ratio
+    index._ratio = lambda own, i: single.append(i) or of(own, i)
+    got = index.best_all(asked, 0)
+    assert all(len(texts[i]) > 64 for i in single if max(map(len, asked)) <= 64 or scorer == "sort") and len(single) < len(asked) * len(texts) / 20
+    for q, found in zip(asked, got):
+        scores = [ratio(q, t) for t in texts]
+        top = max(scores)
+        assert found == (None if scorer == "set" and not q else (scores.index(top), top))
+
+
+def test_jaro_winkler_scores_few_pairs(monkeypatch):
+    rnd = random.Random(12)
+    names = sorted({f"{''.join(rnd.choice('aeioukrstlmn') for _ in range(rnd.randrange(4, 9)))} {rnd.choice(['records', 'tapes', 'sound'])}" for _ in range(400)} | {"", "x" * 70, "ж records"})
+    asked, index, calls = [*names[::8], "recordz", "a" * 66], fuzzy_match.JaroWinkler(names), []
+    monkeypatch.setattr(fuzzy_match, "jaro_winkler", lambda a, b: calls.append(a) or jaro_winkler(a, b))
+    for cutoff in (0.85, 0.6):
+        calls.clear()
+        got = index.best_all(asked, cutoff)
+        few = len(calls)
+        for q, found in zip(asked, got):
+            assert found == [(i, -s) for s, i in sorted((-jaro_winkler(q, t), i) for i, t in enumerate(names) if jaro_winkler(q, t) >= cutoff)[:2]]
+        assert few < len(asked) * 12
+
+
 def test_best_clear_equals_brute_force(spark, monkeypatch):
     rnd = random.Random(9)
     texts = sorted({_words(rnd) for _ in range(60)})
