@@ -12,7 +12,7 @@ from crateflow.functions.normalize import is_compilation, match_artist, match_ti
 from crateflow.functions.similarity import token_set_ratio
 from crateflow.functions.stats import wilson
 from crateflow.operators.fuzzy_match import best_match
-from crateflow.operators.search import similarity_join, tokens
+from crateflow.operators.search import similarity_join, similarity_join_within, tokens
 from crateflow.session import cut_lineage
 
 #: Between artist and title in a combined text.
@@ -291,8 +291,11 @@ def collision_candidates(titles: DataFrame, releases: DataFrame, credits: DataFr
 
     asked = titles.select("name", "title", "wrong_id").distinct()
     named = credits.select("release_id", "artist_id", "artist_name").distinct().join(releases.select(F.col("id").alias("release_id"), F.col("title").alias("found")), "release_id")
-    own = asked.join(named.withColumn("_n", F.lower(F.substring("artist_name", 1, 200))), F.lower("name") == F.col("_n")).drop("_n")
-    own = own.withColumn("title_sim", similarity(F.col("title"), F.col("found"))).where("title_sim > 0.3").withColumn("artist_sim", F.lit(1.0))
+    mine = asked.withColumn("_n", F.lower("name"))
+    theirs = named.withColumn("_n", F.lower(F.substring("artist_name", 1, 200)))
+    near = similarity_join_within(mine, theirs, "_n", "title", "found", 0.3)
+    own = mine.join(near, ["_n", "title"]).join(theirs, ["_n", "found"]).drop("_n").withColumnRenamed("similarity", "title_sim").withColumn("artist_sim", F.lit(1.0))
+    own = cut_lineage(own)
     lost = asked.join(own.select("name", "title"), ["name", "title"], "left_anti")
     alike = similarity_join(lost, named, "title", "found", 0.5, inclusive=True)
     any_ = lost.join(alike.withColumnRenamed("similarity", "title_sim"), "title").join(named, "found").withColumn("artist_sim", similarity(F.col("name"), F.col("artist_name")))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from crateflow.functions.similarity import jaro_winkler, token_set, token_sort
 from crateflow.operators import classify, dedup, fuzzy_match, search, tables
+from crateflow.session import spread
 
 
 def test_unknown_country_ranks_first_and_trackless_stay(spark):
@@ -210,6 +211,29 @@ def test_similarity_join_loses_nothing(spark):
     assert {(r.l, r.r) for r in search.similarity_join(a, b, "l", "r", 0.3).collect()} == want
 
 
+def test_similarity_joins_equal_brute_force(spark, monkeypatch):
+    # One name has most titles, as compilations have; right texts go in blocks; trigrams that many texts have are left out of the count.
+    rnd = random.Random(4)
+    titles = [" ".join(rnd.choice(["the", "pale", "ferry", "amber", "stones", "stone", "of", "u2", "ж", ""]) for _ in range(rnd.randrange(0, 5))) for _ in range(160)]
+    left, right = ([(rnd.choice(["various"] * 5 + ["1:a", "a", ""]), t) for t in titles[i::2]] + [(None, "pale"), ("a", None)] for i in (0, 1))
+    monkeypatch.setattr(search, "BLOCK", 25)
+    x, y = spark.createDataFrame(left, "n string, l string"), spark.createDataFrame(right, "n string, r string")
+
+    def grams(t):
+        return {f"  {w} "[i : i + 3] for w in t.split() for i in range(len(w) + 1)}
+
+    def sim(a, b):
+        return len(grams(a) & grams(b)) / max(len(grams(a) | grams(b)), 1)
+
+    for least, inclusive in ((0.3, False), (0.5, True), (0.75, False)):
+        want = {(a, b, round(sim(a, b), 9)) for (_, a), (_, b) in itertools.product(left, right) if a is not None and b is not None and (sim(a, b) > least or inclusive and sim(a, b) == least)}
+        got = [(r.l, r.r, round(r.similarity, 9)) for r in search.similarity_join(x, y, "l", "r", least, inclusive).collect()]
+        assert set(got) == want and len(got) == len(want) > 9
+    got = [(r.n, r.l, r.r) for r in search.similarity_join_within(x, y, "n", "l", "r", 0.3).collect()]
+    want = {(n, a, b) for (n, a), (m, b) in itertools.product(left, right) if n is not None and n == m and a is not None and b is not None and sim(a, b) > 0.3}
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_resolver(spark):
     rows = [("n1", 7, 1, 0.95), ("n1", 8, 2, 0.90), ("n2", 7, 1, 0.5), ("n2", 8, 2, 0.45), ("n3", 7, 1, 0.3), ("n4", 7, 1, 0.3), ("n4", 7, 2, 0.2), ("n4", 8, 3, 0.5), ("n5", 7, 1, 0.55)]
     names = spark.createDataFrame([(f"n{i}",) for i in range(1, 7)], "name string")
@@ -217,6 +241,12 @@ def test_resolver(spark):
     assert got == {"n1": ("RESOLVED", 7, 1), "n2": ("AMBIGUOUS", 7, 1), "n3": ("UNRESOLVED", 7, 1), "n4": ("RESOLVED", 7, 2), "n5": ("RESOLVED", 7, 1), "n6": ("UNRESOLVED", None, 0)}
 
 
+def test_spread_rows_stay_spread(spark):
+    # Adaptive execution put them into one task where they had been shuffled by the same columns before.
+    rows = spread(spark.range(1000).selectExpr("cast(id as string) AS text").distinct(), "text")
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() == 4
+
+
 def test_filter_reaches_the_scan(spark):
     from conftest import SF
 
