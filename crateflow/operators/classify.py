@@ -294,16 +294,33 @@ def collision_candidates(titles: DataFrame, releases: DataFrame, credits: DataFr
     mine = asked.withColumn("_n", F.lower("name"))
     theirs = named.withColumn("_n", F.lower(F.substring("artist_name", 1, 200)))
     near = similarity_join_within(mine, theirs, "_n", "title", "found", 0.3)
-    own = mine.join(near, ["_n", "title"]).join(theirs, ["_n", "found"]).drop("_n").withColumnRenamed("similarity", "title_sim").withColumn("artist_sim", F.lit(1.0))
-    own = cut_lineage(own)
+    own = cut_lineage(mine.join(_first_rows(near, theirs, ["_n", "title"], ["_n", "found"], most), ["_n", "title"]).drop("_n"))
     lost = asked.join(own.select("name", "title"), ["name", "title"], "left_anti")
     alike = similarity_join(lost, named, "title", "found", 0.5, inclusive=True)
-    any_ = lost.join(alike.withColumnRenamed("similarity", "title_sim"), "title").join(named, "found").withColumn("artist_sim", similarity(F.col("name"), F.col("artist_name")))
-    columns = ["name", "title", "wrong_id", "release_id", "artist_id", "title_sim", "artist_sim"]
-    both = own.select(*columns).unionByName(any_.select(*columns))
-    order = Window.partitionBy("name", "title").orderBy(F.desc("title_sim"), "release_id", "artist_id")
-    top = both.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= most).where("wrong_id is null or artist_id is null or artist_id <> wrong_id")
-    return top.select("name", "title", "release_id", "artist_id", weighted(F.col("title_sim"), F.col("artist_sim")).alias("score"))
+    any_ = lost.join(_first_rows(alike, named, ["title"], ["found"], most), "title")
+    columns = ["name", "title", "wrong_id", *_ORDER, "similarity"]
+    both = own.select(*columns, F.lit(True).alias("_own")).unionByName(any_.select(*columns, F.lit(False).alias("_own")))
+    top = _top(both, ["name", "title"], [F.desc("similarity"), *_ORDER], most).where("wrong_id is null or artist_id is null or artist_id <> wrong_id")
+    # Names are compared last, for the rows that are left.
+    artist_sim = F.when(F.col("_own"), 1.0).otherwise(similarity(F.col("name"), F.col("artist_name")))
+    return top.select("name", "title", "release_id", "artist_id", weighted(F.col("similarity"), artist_sim).alias("score"))
+
+
+#: The order of rows that are equally alike.
+_ORDER = ["release_id", "artist_id", "artist_name"]
+
+
+def _top(rows: DataFrame, keys: list[str], order: list, most: int) -> DataFrame:
+    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_r") <= most).drop("_r")
+
+
+def _first_rows(pairs: DataFrame, rows: DataFrame, keys: list[str], on: list[str], most: int) -> DataFrame:
+    """The ``most`` rows of each of the keys: ``pairs`` (keys, found, similarity) with the rows of their text (``on``), the alike ones first, then by ``_ORDER``.
+    A text has a row of its own to put before those of the texts behind it, so no more than the first ``most`` texts of a key, by likeness and first row,
+    and rows of a text are joined."""
+    first = rows.groupBy(*on).agg(F.min(F.struct(*_ORDER)).alias("_first"))
+    texts = _top(pairs.join(first, on), keys, [F.desc("similarity"), "_first", "found"], most).drop("_first")
+    return _top(texts.join(_top(rows, on, _ORDER, most), on), keys, [F.desc("similarity"), *_ORDER], most)
 
 
 def resolve_collisions(names: DataFrame, candidates: DataFrame, threshold: float = 0.55, fair: float = 0.40) -> DataFrame:

@@ -234,6 +234,34 @@ def test_similarity_joins_equal_brute_force(spark, monkeypatch):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_collision_candidates_equal_brute_force(spark):
+    rnd = random.Random(5)
+    words = ["pale", "ferry", "amber", "stones", "stone"]
+    titles = list({(rnd.choice(["Ann", "ann", "Bo", "Cy"]), " ".join(rnd.choices(words, k=2)), rnd.choice([None, 1])): 0 for _ in range(25)})
+    titles = list({t[:2]: t for t in titles}.values())
+    releases = [(i, " ".join(rnd.choices(words, k=rnd.randrange(1, 3)))) for i in range(90)]
+    credits = [(rnd.randrange(90), rnd.choice([None, 1, 2, 3]), rnd.choice(["Ann", "ANN", "Dee", "Bo"])) for _ in range(160)]
+    credits = list({c[:2]: c for c in credits}.values())  # the order leaves no ties
+
+    def sim(a, b):
+        a, b = ({f"  {w} "[i : i + 3] for w in t.lower().split() for i in range(len(w) + 1)} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    want = set()
+    for name, title, wrong in titles:
+        rows = [(-sim(title, t), i, a or 0, n) for i, t in releases for r, a, n in credits if r == i]
+        own = [(*r, 1.0) for r in rows if r[3].lower() == name.lower() and r[0] < -0.3]
+        top = sorted(own or [(*r, sim(name, r[3])) for r in rows if r[0] <= -0.5])[:4]
+        want |= {(name, title, i, a or None, round(-0.6 * s + 0.4 * x, 6)) for s, i, a, _, x in top if wrong is None or a != wrong}
+    t, r, c = (spark.createDataFrame(*x) for x in ((titles, "name string, title string, wrong_id int"), (releases, "id int, title string"), (credits, "release_id int, artist_id int, artist_name string")))
+    found = classify.collision_candidates(t, r, c, 4)
+    got = [(x.name, x.title, x.release_id, x.artist_id, round(x.score, 6)) for x in found.collect()]
+    assert set(got) == want and len(got) == len(want) > 40
+    # Names are compared for the first rows of a title only, not for every row that is alike.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" in plan and "array_intersect" not in plan[plan.index("Window ") :]
+
+
 def test_resolver(spark):
     rows = [("n1", 7, 1, 0.95), ("n1", 8, 2, 0.90), ("n2", 7, 1, 0.5), ("n2", 8, 2, 0.45), ("n3", 7, 1, 0.3), ("n4", 7, 1, 0.3), ("n4", 7, 2, 0.2), ("n4", 8, 3, 0.5), ("n5", 7, 1, 0.55)]
     names = spark.createDataFrame([(f"n{i}",) for i in range(1, 7)], "name string")
