@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,6 +273,27 @@ def test_collision_candidates_equal_brute_force(spark):
     assert "array_intersect" in plan and "array_intersect" not in plan[plan.index("Window ") :]
 
 
+@pytest.mark.parametrize("scorer", ["set", "sort"])
+def test_stretches_of_texts_are_scored_as_they_lie(monkeypatch, scorer):
+    # Where most texts of a stretch are asked for, no letter is looked up text by text; either way the ratios are those of brute force.
+    monkeypatch.setattr(fuzzy_match, "_CACHED", 64)
+    rnd, score = random.Random(6), token_set if scorer == "set" else token_sort
+    texts = sorted({" ".join("".join(rnd.sample("abcdefgh", rnd.randrange(2, 6))) for _ in range(rnd.randrange(1, 5))) for _ in range(500)})
+    index, looked_up = fuzzy_match.Candidates(texts, scorer), []
+    monkeypatch.setattr(index, "_where", lambda c, i, old=index._where: looked_up.append(len(i)) or old(c, i))
+    for text in ("abcd hgfe bad", texts[7], "zz a", texts[200] + " cab"):
+        own = text.split() if scorer == "sort" else sorted(set(text.split()))
+        for step in (1, 2, 5):
+            at = np.array([i for i in range(len(texts)) if step != 2 or i % 3], dtype=np.int64)[:: 5 if step == 5 else 1]
+            got = index._many(own, " ".join(sorted(own)), at, 0.0)
+            # A set ratio's other parts are those of shared words alone, which decide on equal texts.
+            part = index._words(own, len(" ".join(own)), [w for w in own if w in index.places]) if scorer == "set" and set(own) & set(index.places) else ((), ())
+            alone = dict(zip(*(x.tolist() if len(x) else [] for x in part)))
+            assert [max(min(g, 100.0), alone.get(i, 0.0)) for g, i in zip(got.tolist(), at.tolist())] == pytest.approx([score(text, texts[i]) for i in at])
+            assert bool(looked_up) == (step == 5)
+        looked_up.clear()
+
+
 def test_resolver(spark):
     rows = [("n1", 7, 1, 0.95), ("n1", 8, 2, 0.90), ("n2", 7, 1, 0.5), ("n2", 8, 2, 0.45), ("n3", 7, 1, 0.3), ("n4", 7, 1, 0.3), ("n4", 7, 2, 0.2), ("n4", 8, 3, 0.5), ("n5", 7, 1, 0.55)]
     names = spark.createDataFrame([(f"n{i}",) for i in range(1, 7)], "name string")
