@@ -614,3 +614,11 @@ def test_joiners_stay_where_they_shape():
     for text in ("\u0645\u06cc\u200c\u062e\u0648\u0627\u0647\u0645", "\U0001f468\u200d\U0001f469\u200d\U0001f467", "\u0915\u094d\u200d\u0937"):
         assert t(text) == text != t(text.replace("\u200c", "").replace("\u200d", ""))
     assert t("a\u200cb") == "ab" and t("\u0645\u200c a") == "\u0645 a"
+
+
+def test_kept_likenesses_are_bounded():
+    # Full caches took 240 MB of each Python worker, for good.
+    for i in range(30_000):
+        entity_match.attributes(f"a{i} pale ferry|", f"b{i} pale ferry|", f"ann {i}", f"ann {i + 1}", False)
+    kept = [f.cache_info() for f in (entity_match.text_similarity, entity_match.word_agreement, entity_match.artist_similarity)]
+    assert all(0 < k.currsize <= 20_000 for k in kept)
